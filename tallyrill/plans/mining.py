@@ -13,6 +13,7 @@ from tallyrill.operators import splits as SP
 from tallyrill.operators import text as X
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query, table
+from tallyrill.session import stage
 
 
 # --- scalar functions ---------------------------------------------------------------------
@@ -321,7 +322,7 @@ def rec06(spark, sf):
 @query("rec07_factor_error")
 def rec07(spark, sf):
     """Training error of the two-factor model after few and after more steps."""
-    r = D.ratings(spark, sf).cache()
+    r = stage(D.ratings(spark, sf), "ratings")
     out = None
     for steps in (1, 10):
         model = RC.factorise(r, 2, 0.02, steps)
