@@ -8,6 +8,8 @@ cell into slices, so that a hot cell or a crowd of queries spreads over many tas
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -94,14 +96,17 @@ def nearest(
     train: DataFrame,
     queries: DataFrame,
     k: int,
-    pivots: int = 16,
+    pivots: int | None = None,
     block_rows: int = 20_000,
     slice_rows: int = 5_000,
 ) -> DataFrame:
     """k nearest training rows of every query by Euclidean distance, ties by training id.
 
     ``train`` has (train_id, label, v) and ``queries`` (query_id, v), v an array of numbers.
+    Without ``pivots`` their number is the root of the training rows, from 16 to 1,024.
     """
+    if pivots is None:
+        pivots = max(16, min(1024, math.isqrt(train.count())))
     # a bounded number of vectors comes to the driver to act as pivots
     chosen = train.select("v", hash_unit("train_id", 11).alias("u"), "train_id").orderBy("u", "train_id").limit(pivots).collect()
     centres = np.array([r["v"] for r in chosen], dtype=float)

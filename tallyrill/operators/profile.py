@@ -147,8 +147,8 @@ def line_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def _bin_of(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin of equal width; the last one is closed on the right, no width means bin 0."""
-    raw = F.floor(F.try_divide(x - lo, hi - lo) * bins)
-    return F.coalesce(F.least(raw, F.lit(bins - 1)), F.lit(0)).cast("int")
+    raw = F.coalesce(F.floor(F.try_divide(x - lo, hi - lo) * bins), F.lit(0))
+    return F.least(raw, F.lit(bins - 1)).cast("int")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 25, keys: Sequence[str] = ()) -> DataFrame:

@@ -83,8 +83,10 @@ def vocabulary_presence(df: DataFrame, text: str, vocabulary: DataFrame, size: i
     """
     terms = [r["term"] for r in vocabulary.select("term").orderBy("term").limit(size).collect()]
     listed = F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
-    low = F.lower(F.col(text))
-    return df.withColumn(out, F.transform(listed, lambda v: F.contains(low, v).cast("int")))
+    # the one-element array makes the lower-case text once per row, not once per word
+    once = F.array(F.lower(F.col(text)))
+    marks = F.transform(once, lambda t: F.transform(listed, lambda v: F.contains(t, v).cast("int")))
+    return df.withColumn(out, marks[0])
 
 
 def lexicon_scores(df: DataFrame, doc: str, text: str, lexicon: DataFrame) -> DataFrame:
@@ -101,5 +103,5 @@ def lexicon_scores(df: DataFrame, doc: str, text: str, lexicon: DataFrame) -> Da
 def without_stop_words(tokens: str | Column, stop: Sequence[str] | None = None) -> Column:
     """Tokens that are not in a short fixed list, as an array expression."""
     t = F.col(tokens) if isinstance(tokens, str) else tokens
-    listed = F.array(*[F.lit(w) for w in dict.fromkeys(stop or [*STOP_WORDS, *STOP_SIGNS])])
-    return F.filter(t, lambda x: ~F.array_contains(listed, x))
+    listed = list(dict.fromkeys(stop or [*STOP_WORDS, *STOP_SIGNS]))
+    return F.filter(t, lambda x: ~x.isin(listed))

@@ -148,7 +148,7 @@ def fea09b(spark, sf):
     )
     words = spark.createDataFrame(list(enumerate(fitted.vocabulary)), "slot int, term string")
     return words.join(slots, "slot").select(
-        "term", F.col("x.docs").cast("bigint").alias("docs"), F.col("x.total").cast("bigint").alias("total")
+        "term", F.round("x.docs").cast("bigint").alias("docs"), F.round("x.total").cast("bigint").alias("total")
     )
 
 

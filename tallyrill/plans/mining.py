@@ -295,6 +295,15 @@ def rec03(spark, sf):
     return sims(spark, sf)
 
 
+@query(
+    "joi07_co_rated_pairs",
+    f"""SELECT y.userid AS neighbour, count(*) AS shared FROM {D.RATINGS} x JOIN {D.RATINGS} y ON x.itemid = y.itemid AND x.userid <> y.userid
+        WHERE x.userid = (SELECT userid FROM {ACTIVE}) GROUP BY 1""",
+)
+def joi07(spark, sf):
+    return sims(spark, sf).select("neighbour", "shared")
+
+
 @query("rec04_nearest_users", REC_SQL + "SELECT active, neighbour, shared, sim FROM k")
 def rec04(spark, sf):
     return RC.nearest_users(sims(spark, sf), 10)
@@ -550,6 +559,17 @@ def fea12(spark, sf):
     return scored_docs.withColumn("compound", F.round("compound", 6))
 
 
+@query(
+    "joi09_two_features_one_row",
+    f"""SELECT doc_id, hits, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) AS compound FROM
+        (SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM {D.TEXTS}, (SELECT term FROM {TOP_WORDS}) GROUP BY 1) LEFT JOIN
+        (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM {D.TEXTS}) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
+)
+def joi09(spark, sf):
+    """Two feature lists meet by document key, not by their place in a list."""
+    return fea11(spark, sf).join(fea12(spark, sf), "doc_id")
+
+
 # --- neighbours ---------------------------------------------------------------------------
 KNN_SQL = f"""WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
     {S.hash_unit_sql('vec_id', 9)} < 0.8 AS train FROM embeddings),
