@@ -249,12 +249,12 @@ def imp06b(spark, sf):
 
 # --- recommenders -------------------------------------------------------------------------
 def active_user(spark, sf):
-    """The user with most ratings."""
-    counts = D.ratings(spark, sf).groupBy("userid").agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.col("n").desc(), "userid").limit(1).select("userid")
+    """The user with fewest ratings, five at least: someone in need of advice."""
+    counts = D.ratings(spark, sf).groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
+    return counts.orderBy("n", "userid").limit(1).select("userid")
 
 
-ACTIVE = f"(SELECT userid FROM {D.RATINGS} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+ACTIVE = f"(SELECT userid FROM {D.RATINGS} GROUP BY 1 HAVING count(*) >= 5 ORDER BY count(*), 1 LIMIT 1)"
 REC_SQL = f"""WITH r AS (SELECT * FROM {D.RATINGS}), a AS (SELECT userid FROM {ACTIVE}),
   m AS (SELECT userid, avg(rating) AS m FROM r GROUP BY 1),
   s AS (SELECT x.userid AS active, y.userid AS neighbour, count(*) AS shared, CASE WHEN count(*) >= 2

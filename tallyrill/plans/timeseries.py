@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tallyrill.operators import series as TS
 from tallyrill.operators.ordered import with_position
 from tallyrill.operators.profile import box_numbers
-from tallyrill.operators.relational import pivot_mean, with_group_size
+from tallyrill.operators.recommend import favourites
+from tallyrill.operators.relational import with_group_size
 from tallyrill.functions.scalars import month_short
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query, table
-from tallyrill.plans.tables import MONTHS
 
 ROWS_SQL = f"(SELECT *, row_number() OVER (PARTITION BY key ORDER BY {D.LINE_ORDER_SQL}) AS position FROM {D.LINES})"
 WIN_SQL = f"OVER (PARTITION BY key ORDER BY {D.LINE_ORDER_SQL}"
@@ -70,8 +70,6 @@ def win05(spark, sf):
         row_number() OVER (PARTITION BY userid ORDER BY rating DESC, title) AS r FROM {D.RATINGS} JOIN {D.TITLES} USING (itemid)) WHERE r <= 3""",
 )
 def win06(spark, sf):
-    from tallyrill.operators.recommend import favourites
-
     return favourites(D.ratings(spark, sf), D.titles(spark, sf), 3).select("userid", "title", F.round("rating", 6).alias("rating"))
 
 
@@ -84,12 +82,13 @@ def win07(spark, sf):
 @query(
     "win08_rank_of_scores",
     """SELECT n_regionkey, n_name, score, rank() OVER (PARTITION BY n_regionkey ORDER BY score DESC) AS place
-       FROM (SELECT n_regionkey, n_name, round(avg(c_acctbal), 2) AS score FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)""",
+       FROM (SELECT n_regionkey, n_name, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS score FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)""",
 )
 def win08(spark, sf):
     """Rank after the aggregation: one row per nation enters the window."""
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
-    g = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_regionkey", "n_name").agg(F.round(F.avg("c_acctbal"), 2).alias("score"))
+    exact = F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))
+    g = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_regionkey", "n_name").agg(exact.alias("score"))
     return g.withColumn("place", F.rank().over(Window.partitionBy("n_regionkey").orderBy(F.col("score").desc_nulls_last())))
 
 
@@ -176,13 +175,13 @@ def ts05(spark, sf):
     "ts06_monthly_box",
     f"""WITH p AS (SELECT strftime(t, '%b') AS month, y FROM {D.MONTHLY}),
         q AS (SELECT month, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median, quantile_cont(y, 0.75) AS q3 FROM p GROUP BY 1)
-        SELECT month, round(q1, 2) AS q1, round(median, 2) AS median, round(q3, 2) AS q3,
+        SELECT month, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
         min(y) FILTER (WHERE y >= q1 - 1.5 * (q3 - q1)) AS low, max(y) FILTER (WHERE y <= q3 + 1.5 * (q3 - q1)) AS high
         FROM p JOIN q USING (month) GROUP BY month, q1, median, q3""",
 )
 def ts06(spark, sf):
     m = D.monthly(spark, sf).select(month_short("t").alias("month"), "y")
-    return box_numbers(m, ["month"], "y").withColumns({c: F.round(c, 2) for c in ("q1", "median", "q3")})
+    return box_numbers(m, ["month"], "y").withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
 
 
 def acf_sql(source: str, lags: int) -> str:
