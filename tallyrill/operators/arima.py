@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tallyrill.functions.tails import f_two_sided
 from tallyrill.operators import series as TS
 from tallyrill.operators.ordered import over_blocks, with_position
-from tallyrill.operators.relational import null_safe_join
+from tallyrill.operators.relational import join_back, null_safe_join
 from tallyrill.session import stage
 
 ORDER = ["p", "d", "q", "sp", "sd", "sq"]
@@ -167,7 +167,7 @@ def regressors(
     coef = sums_of_products(first, groups, ["z", *const, *[f"z{j}" for j in ar]]).select(
         *groups, _coefficients("xx").alias("__c")
     )
-    fitted = null_safe_join(first, coef, groups, "inner")
+    fitted = join_back(first, coef, groups) if long else null_safe_join(first, coef, groups, "inner")
     guess = F.lit(0.0)
     for i, name in enumerate([*const, *[f"z{j}" for j in ar]]):
         guess = guess + F.col("__c")[i] * F.col(name)
@@ -353,13 +353,13 @@ def fit_and_predict(
     g = {**{k: 0 for k in ORDER}, **spec, "order_id": 0}
     space = SearchSpace([g], s, trend)
     rows = stage(regressors(df, keys, order, y, space, long), "arima-rows")
-    fits = order_search(df, keys, order, y, [g], s, trend, rows).filter("status = 'ok'")
+    fits = stage(order_search(df, keys, order, y, [g], s, trend, rows).filter("status = 'ok'"), "arima-fits")
     err = stage(residuals(rows, fits, keys, space), "arima-resid")
     inside = err.select(*keys, F.col("__pos").alias("step"), (F.col("y") - F.col("resid")).alias("yhat"), F.lit(False).alias("is_forecast"))
     # future errors start from those of the first stage, as in the regression itself
     tail_len = max([*space.z_lags, *space.e_lags, len(difference_weights(g["d"], g["sd"], s)), 1])
-    ends = rows.groupBy(*keys).agg(F.max("__pos").alias("__last"))
-    tail = null_safe_join(rows, ends, list(keys), "inner").filter(F.col("__pos") > F.col("__last") - tail_len)
+    ends = rows.groupBy(*keys).agg(F.max("__pos").alias("__last"), F.count(F.lit(1)).alias("__size"))
+    tail = join_back(rows, ends, keys, "__size").filter(F.col("__pos") > F.col("__last") - tail_len)
     lists = tail.groupBy(*keys).agg(
         F.max("__last").alias("__last"),
         F.sort_array(F.collect_list(F.struct("__pos", "y", "z", "e"))).alias("__t"),
@@ -440,8 +440,8 @@ def unit_root(
     limit = F.floor(12 * F.pow(F.col("__len") / 100.0, F.lit(0.25)))
     if max_lag is None:
         max_lag = int(placed.agg(F.max(limit)).first()[0] or 0)
-    means = placed.groupBy(*keys).agg(F.avg(y).alias("__m"))
-    centred = null_safe_join(placed, means, list(keys), "inner").withColumn("__y", F.col(y) - F.col("__m"))
+    means = placed.groupBy(*keys).agg(F.avg(y).alias("__m"), F.count(F.lit(1)).alias("__size"))
+    centred = join_back(placed, means, keys, "__size").withColumn("__y", F.col(y) - F.col("__m"))
     stepped = _back(centred, keys, 1, lambda w: {"level": F.lag("__y", 1).over(w)}, long)
     stepped = stepped.withColumns({"dy": F.col("__y") - F.col("level"), "one": F.lit(1.0)})
     names = [f"dy{j}" for j in range(1, max_lag + 1)]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyrill.operators.ordered import exact_quantiles
 from tallyrill.operators.profile import group_mode, modes
-from tallyrill.operators.relational import null_safe_join
+from tallyrill.operators.relational import join_back
 from tallyrill.session import stage
 
 
@@ -82,7 +82,7 @@ def fill_blank_by_frequent(df: DataFrame, column: str, among: Column) -> DataFra
 def fill_group_median(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Null becomes the exact median of the row's group."""
     med = exact_quantiles(df, keys, column, [0.5]).select(*keys, F.col("value").alias("__med"))
-    filled = null_safe_join(df, med, list(keys), "left")
+    filled = join_back(df, med, keys)
     return filled.withColumn(column, F.coalesce(F.col(column).cast("double"), "__med")).drop("__med")
 
 

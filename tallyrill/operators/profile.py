@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrill.operators.ordered import exact_quantiles
-from tallyrill.operators.relational import long_form, null_safe_join
+from tallyrill.operators.relational import join_back, long_form
 
 
 def frequency(df: DataFrame, columns: Sequence[str], drop_null: bool = False, alias: str = "n") -> DataFrame:
@@ -156,7 +156,7 @@ def histogram(df: DataFrame, column: str, bins: int = 25, keys: Sequence[str] =
     src = df.filter(F.col(column).isNotNull())
     ends = src.groupBy(*keys).agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
     if keys:
-        placed = null_safe_join(src, ends, list(keys), "inner")
+        placed = join_back(src, ends, keys)
     else:
         span = ends.select(F.struct("__lo", "__hi")).scalar()
         placed = src.withColumns({"__lo": span.getField("__lo"), "__hi": span.getField("__hi")})
@@ -197,7 +197,7 @@ def box_numbers(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     v = F.col(column)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     return (
-        null_safe_join(df.filter(v.isNotNull()), box, list(keys), "inner")
+        join_back(df.filter(v.isNotNull()), box, keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(v >= F.col("q1") - reach, v)).alias("low"),

@@ -38,6 +38,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     cond = F.lit(True)
     for k in on:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    if how in ("left_semi", "left_anti"):
+        return left.join(renamed, cond, how)
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in on])
 
 
@@ -51,6 +53,39 @@ def natural_left_join(left: DataFrame, right: DataFrame, null_safe: bool = True)
     return left.join(right, shared, "left")
 
 
+def join_back(
+    df: DataFrame,
+    per_key: DataFrame,
+    keys: Sequence[str],
+    rows: str | None = None,
+    share: float = 1e-4,
+    floor: int = 1_000_000,
+) -> DataFrame:
+    """Give every row the values of its key, from a table with one row per key; null keys match.
+
+    A per-key table that was aggregated on the join keys keeps their partitioning, and then a
+    hot key can not be split by the engine. So keys with more than ``share`` of all rows (and
+    more than ``floor`` rows) are joined by broadcast: there can be at most 1 / share of them.
+    The rows of all other keys are shuffled as usual. ``rows`` names the row count of the key
+    in ``per_key``; without it the rows are counted here.
+    """
+    keys = list(keys)
+    sized = per_key.withColumnRenamed(rows, "__rows") if rows else null_safe_join(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), per_key, keys, "left"
+    )
+    total = sized.agg(F.sum("__rows")).scalar()
+    hot = F.col("__rows") > F.greatest(total * F.lit(share), F.lit(float(floor)))
+    heavy, light = sized.filter(hot), sized.filter(~hot)
+    name = {"__rows": rows} if rows else {}
+
+    def done(t: DataFrame) -> DataFrame:
+        return t.withColumnsRenamed(name) if rows else t.drop("__rows")
+
+    by_broadcast = null_safe_join(df, F.broadcast(done(heavy)), keys, "inner")
+    others = null_safe_join(df, F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return by_broadcast.unionByName(null_safe_join(others, done(light), keys, "inner"))
+
+
 def keep_members(df: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return df.join(members, on, "left_semi")
 
@@ -107,8 +142,7 @@ def pivot_mean(
 
 def with_group_size(df: DataFrame, keys: Sequence[str], alias: str = "party") -> DataFrame:
     """Rows sharing a key, on every row: counted first, then joined, so a hot key is split."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
-    return null_safe_join(df, sizes, keys, "left")
+    return join_back(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)), keys, alias)
 
 
 def collapse_rare(df: DataFrame, column: str, at_most: int, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyrill.functions.scalars import half_even
 from tallyrill.functions.tails import chi2_tail_even
 from tallyrill.operators.ordered import fill_forward, over_blocks, with_position
-from tallyrill.operators.relational import null_safe_join
+from tallyrill.operators.relational import join_back
 
 Build = Callable[[WindowSpec], dict[str, Column]]
 
@@ -133,8 +133,12 @@ def autocovariances(
 
     One window pass gives all lags; the products are then summed with partial aggregation.
     """
-    means = df.groupBy(*keys).agg(F.avg(y).alias("__m"))
-    centred = null_safe_join(df, means, list(keys), "inner").withColumn("__d", F.col(y) - F.col("__m"))
+    if long:
+        means = df.groupBy(*keys).agg(F.avg(y).alias("__m"), F.count(F.lit(1)).alias("__size"))
+        known = join_back(df, means, keys, "__size")
+    else:
+        known = df.withColumn("__m", F.avg(y).over(Window.partitionBy(*keys)))
+    centred = known.withColumn("__d", F.col(y) - F.col("__m"))
     lagged = windowed(
         centred.select(*keys, *order, "__d"),
         keys,

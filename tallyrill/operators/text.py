@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyrill.operators.relational import join_back
+
 # Addresses, mentions and hashtags stay whole, then words, then single signs.
 TWEET_PATTERN = r"https?://[^\s]+|[@#][A-Za-z0-9_]+|[\p{L}\p{N}']+|[^\s\p{L}\p{N}]"
 
@@ -72,7 +74,7 @@ def tf_idf(counts: DataFrame, doc: str, n_docs: Column) -> DataFrame:
     """Term count times ln((documents + 1) / (documents with the term + 1))."""
     df_of = counts.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
     weight = F.col("n") * F.ln((n_docs + 1) / (F.col("__df") + 1))
-    return counts.join(df_of, "term").select(doc, "term", "n", weight.alias("tf_idf"))
+    return join_back(counts, df_of, ["term"], "__df").select(doc, "term", "n", weight.alias("tf_idf"))
 
 
 def vocabulary_presence(df: DataFrame, text: str, vocabulary: DataFrame, size: int, out: str = "present") -> DataFrame:
@@ -92,7 +94,8 @@ def vocabulary_presence(df: DataFrame, text: str, vocabulary: DataFrame, size: i
 def lexicon_scores(df: DataFrame, doc: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Compound score s / sqrt(s^2 + 15), s the sum of term valences; 0 without a hit.
 
-    Terms are counted per document first, so a word repeated in a long text joins once.
+    Terms are counted per document first, so a word repeated in a long text joins once. Give
+    the lexicon as a stored table: the engine can then split a word that many texts share.
     """
     counts = term_counts(df, doc, tweet_tokens(text))
     sums = counts.join(lexicon, "term").groupBy(doc).agg(F.sum(F.col("n") * F.col("valence")).alias("__s"))

@@ -306,7 +306,7 @@ def presence_rows(spark, sf):
     rows = text_rows(spark, sf)
     vocab = X.top_words(X.words(rows.filter("split = 'train'"), "text"), 100)
     marked = X.vocabulary_presence(rows, "text", vocab, 100)
-    scores = X.lexicon_scores(rows, "doc_id", "text", lexicon(spark, sf))
+    scores = X.lexicon_scores(rows, "doc_id", "text", stage(lexicon(spark, sf), "lexicon"))
     both = marked.join(scores, "doc_id")
     vector = array_to_vector(F.concat(F.transform("present", lambda x: x.cast("double")), F.array("compound")))
     label = F.when(F.col("class") == "pos", 1.0).otherwise(0.0)
@@ -418,7 +418,7 @@ def ml22(spark, sf):
     return m.transform(rows).groupBy("split").agg(F.avg((best == F.col("label")).cast("double")).alias("hit_rate"))
 
 
-@query("snk08_saved_model")
+@query("snk08_saved_model", f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM {D.CLAIMS}")
 def snk08(spark, sf):
     """Scores of a model before saving and after loading agree on every row."""
     rows = prepared(spark, sf)

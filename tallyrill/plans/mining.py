@@ -248,9 +248,14 @@ def imp06b(spark, sf):
 
 
 # --- recommenders -------------------------------------------------------------------------
-def active_user(spark, sf):
+def rated(spark, sf):
+    """Ratings written once: the steps below read them several times."""
+    return stage(D.ratings(spark, sf), "ratings")
+
+
+def active_user(ratings):
     """The user with fewest ratings, five at least: someone in need of advice."""
-    counts = D.ratings(spark, sf).groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
+    counts = ratings.groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
     return counts.orderBy("n", "userid").limit(1).select("userid")
 
 
@@ -282,17 +287,18 @@ def rec01b(spark, sf):
         WHERE userid = (SELECT userid FROM {ACTIVE}) ORDER BY rating DESC, title LIMIT 5""",
 )
 def rec02(spark, sf):
-    mine = D.ratings(spark, sf).join(active_user(spark, sf), "userid", "left_semi")
+    r = rated(spark, sf)
+    mine = r.join(active_user(r), "userid", "left_semi")
     return RC.favourites(mine, D.titles(spark, sf), 5).select("userid", "title", F.round("rating", 6).alias("rating"))
 
 
-def sims(spark, sf):
-    return RC.similarity(D.ratings(spark, sf), active_user(spark, sf))
+def sims(r):
+    return RC.similarity(r, active_user(r))
 
 
 @query("rec03_similarity", REC_SQL + "SELECT active, neighbour, shared, sim FROM s")
 def rec03(spark, sf):
-    return sims(spark, sf)
+    return sims(rated(spark, sf))
 
 
 @query(
@@ -301,18 +307,18 @@ def rec03(spark, sf):
         WHERE x.userid = (SELECT userid FROM {ACTIVE}) GROUP BY 1""",
 )
 def joi07(spark, sf):
-    return sims(spark, sf).select("neighbour", "shared")
+    return sims(rated(spark, sf)).select("neighbour", "shared")
 
 
 @query("rec04_nearest_users", REC_SQL + "SELECT active, neighbour, shared, sim FROM k")
 def rec04(spark, sf):
-    return RC.nearest_users(sims(spark, sf), 10)
+    return RC.nearest_users(sims(rated(spark, sf)), 10)
 
 
 @query("rec05_predicted_ratings", REC_SQL + "SELECT active, itemid, round(predicted, 5) AS predicted FROM p")
 def rec05(spark, sf):
-    near = RC.nearest_users(sims(spark, sf), 10)
-    return RC.predict_from_neighbours(D.ratings(spark, sf), near).withColumn("predicted", F.round("predicted", 5))
+    r = rated(spark, sf)
+    return RC.predict_from_neighbours(r, RC.nearest_users(sims(r), 10)).withColumn("predicted", F.round("predicted", 5))
 
 
 @query(
@@ -323,15 +329,15 @@ def rec05(spark, sf):
           JOIN {D.TITLES} USING (itemid)""",
 )
 def rec06(spark, sf):
-    r = D.ratings(spark, sf)
-    predicted = RC.predict_from_neighbours(r, RC.nearest_users(sims(spark, sf), 10))
+    r = rated(spark, sf)
+    predicted = RC.predict_from_neighbours(r, RC.nearest_users(sims(r), 10))
     return RC.unseen_top(predicted, r, D.titles(spark, sf), 5)
 
 
 @query("rec07_factor_error")
 def rec07(spark, sf):
     """Training error of the two-factor model after few and after more steps."""
-    r = stage(D.ratings(spark, sf), "ratings")
+    r = rated(spark, sf)
     out = None
     for steps in (1, 10):
         model = RC.factorise(r, 2, 0.02, steps)
@@ -343,8 +349,8 @@ def rec07(spark, sf):
 
 @query("rec08_factor_top")
 def rec08(spark, sf):
-    r = D.ratings(spark, sf)
-    return RC.factor_unseen_top(RC.factorise(r), r, active_user(spark, sf), D.titles(spark, sf), 5)
+    r = rated(spark, sf)
+    return RC.factor_unseen_top(RC.factorise(r), r, active_user(r), D.titles(spark, sf), 5)
 
 
 # --- splits -------------------------------------------------------------------------------
@@ -555,7 +561,7 @@ def lexicon(spark, sf):
         (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM {D.TEXTS}) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
 )
 def fea12(spark, sf):
-    scored_docs = X.lexicon_scores(D.texts(spark, sf), "doc_id", "text", lexicon(spark, sf))
+    scored_docs = X.lexicon_scores(D.texts(spark, sf), "doc_id", "text", stage(lexicon(spark, sf), "lexicon"))
     return scored_docs.withColumn("compound", F.round("compound", 6))
 
 

@@ -404,8 +404,7 @@ def joi05(spark, sf):
 )
 def joi06(spark, sf):
     p = D.passengers(spark, sf).select("passenger_id", "ticket")
-    rare = p.groupBy("ticket").agg(F.count(F.lit(1)).alias("n")).filter("n <= 5").select("ticket")
-    return R.keep_members(p, rare, "ticket")
+    return R.with_group_size(p, ["ticket"], "n").filter("n <= 5").drop("n")
 
 
 # --- sets and reshaping -------------------------------------------------------------------

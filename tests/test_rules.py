@@ -156,3 +156,14 @@ def test_category_drift_and_group_fill(spark):
     assert rows(R.category_drift(a, b, ["c", "n"])) == [("c", "y", "first"), ("c", "z", "second"), ("n", "2", "first")]
     g = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", None)], "k string, v double")
     assert rows(I.fill_group_median(g, ["k"], "v")) == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", None)]
+
+
+def test_join_back_with_hot_and_null_keys(spark):
+    df = spark.createDataFrame([("hot", i) for i in range(50)] + [(None, i) for i in range(30)] + [(f"k{i}", i) for i in range(20)], "k string, v int")
+    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top"))
+    want = sorted(((r["k"], r["v"], {"hot": 50, None: 30}.get(r["k"], 1)) for r in df.collect()), key=str)
+    for share, floor in ((1e-4, 10), (0.35, 1), (1e-4, 1_000_000), (1e-4, 0)):
+        got = R.join_back(df, sizes, ["k"], "n", share, floor)
+        assert got.columns == ["k", "v", "n", "top"]
+        assert rows(got.select("k", "v", "n")) == want
+    assert rows(R.join_back(df, sizes.filter("n > 1").select("k", "top"), ["k"], share=1e-4, floor=10).select("k", "v")) == rows(df)
