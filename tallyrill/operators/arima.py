@@ -38,8 +38,9 @@ def order_grid(p, d, q, sp=(0,), sd=(0,), sq=(0,)) -> list[dict]:
 def sums_of_products(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """n and the upper triangle of X'X as an array, rows complete in all columns only."""
     full = df.dropna(how="any", subset=list(columns))
-    sums = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(columns) for b in columns[i:]]
-    return full.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("xx"))
+    # one piece of SQL text instead of hundreds of small column calls
+    sums = ", ".join(f"sum(`{a}` * `{b}`)" for i, a in enumerate(columns) for b in columns[i:])
+    return full.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.expr(f"array({sums})").alias("xx"))
 
 
 def _square(xx: np.ndarray) -> np.ndarray:
@@ -257,7 +258,10 @@ def order_search(
     space = SearchSpace(grid, s, trend)
     base = rows if rows is not None else regressors(df, keys, order, y, space, long)
     sums = sums_of_products(base, [*keys, "d", "sd"], space.columns)
-    orders = F.array(*[F.struct(*[F.lit(g[k]).alias(k) for k in ("order_id", *ORDER)]) for g in space.grid])
+    listed = ", ".join(
+        "named_struct(" + ", ".join(f"'{k}', {int(g[k])}" for k in ("order_id", *ORDER)) + ")" for g in space.grid
+    )
+    orders = F.expr(f"array({listed})")
     asked = (
         sums.withColumn("__o", F.explode(orders))
         .filter((F.col("__o.d") == F.col("d")) & (F.col("__o.sd") == F.col("sd")))

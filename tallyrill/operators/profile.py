@@ -119,22 +119,34 @@ def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, r) for all pairs over rows complete in every column; null without variance."""
+    """(a, b, r) for all pairs over rows complete in every column; null without variance.
+
+    One aggregate of plain sums. Values are taken from those of some one row, so that a
+    column far from zero keeps its precision.
+    """
     complete = df.dropna(how="any", subset=list(columns))
-    pairs = list(combinations_with_replacement(columns, 2))
-    # rows are complete here, so each column's deviation is one shared aggregate
-    def r_of(a: str, b: str) -> Column:
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    origin = complete.select(F.struct(*columns)).limit(1).scalar()
+    step = {c: F.col(c).cast("double") - origin.getField(c).cast("double") for c in columns}
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    moved = complete.select(*[step[c].alias(f"__d{i}") for i, c in enumerate(columns)])
+    # SQL text here: hundreds of small column calls would take longer than the query
+    sums = moved.agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.expr(f"sum(__d{i}) AS __s{i}") for i in range(len(columns))],
+        *[F.expr(f"sum(__d{i} * __d{j}) AS __p{i}_{j}") for i, j in pairs],
+    )
 
-    one = complete.agg(*[r_of(a, b).alias(f"__r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"__r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    def spread(i: int, j: int) -> str:
+        return f"(__n * __p{i}_{j} - __s{i} * __s{j})"
+
+    cells = [
+        f"named_struct('a', {i}, 'b', {j}, 'r', try_divide({spread(i, j)}, sqrt({spread(i, i)}) * sqrt({spread(j, j)})))"
+        for i, j in pairs
+    ]
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.select(F.expr(f"inline(array({', '.join(cells)}))")).select(
+        names[F.col("a")].alias("a"), names[F.col("b")].alias("b"), "r"
     )
-    return one.select(F.inline(cells))
 
 
 def line_fit(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -147,9 +147,8 @@ def autocovariances(
         lambda w: {f"__l{k}": F.lag("__d", k).over(w) for k in range(1, lags + 1)},
         long,
     )
-    sums = [F.sum(F.col("__d") * F.col("__d"))]
-    sums += [F.coalesce(F.sum(F.col("__d") * F.col(f"__l{k}")), F.lit(0.0)) for k in range(1, lags + 1)]
-    return lagged.groupBy(*keys).agg(F.count("__d").alias("n"), F.array(*sums).alias("c"))
+    sums = ["sum(__d * __d)"] + [f"coalesce(sum(__d * __l{k}), 0.0D)" for k in range(1, lags + 1)]
+    return lagged.groupBy(*keys).agg(F.count("__d").alias("n"), F.expr(f"array({', '.join(sums)})").alias("c"))
 
 
 def acf(
