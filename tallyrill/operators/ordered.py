@@ -25,13 +25,6 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
-
-
 def with_running(
     df: DataFrame,
     keys: Sequence[str],

@@ -75,7 +75,6 @@ def sca12(spark, sf):
     return D.flights(spark, sf).groupBy(total.alias("total_delay")).agg(F.count(F.lit(1)).alias("n"))
 
 
-AGE_BANDS = [(10, "kid"), (81, "adult")]
 FARE_BANDS = [(100000, "ten-"), (200000, "ten+"), (300000, "twenty+")]
 
 
