@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.llm import binary, decontaminate, linededup, mixture, ownership, simhash, toxicity
+from tallyrill.llm import binary, decontaminate, licences, linededup, mixture, oph, ownership, simhash, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -41,6 +41,13 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.classes(_table(spark, folder, "documents")).drop("text_key")
 
 
+@_query
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    both = oph.with_edited(_table(spark, folder, "documents"))
+    near = [oph.likeness("fp", other).alias(name) for other, name in (("edited_fp", "near_edited"), ("next_fp", "near_next"))]
+    return both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), oph.hexed("fp").alias("fingerprint"), oph.hexed("edited_fp").alias("edited_fingerprint"), *near)
+
+
 @_query
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, folder, "documents"))
@@ -52,11 +59,21 @@ def op6_binary_packing(spark: SparkSession, folder: str) -> DataFrame:
     return binary.pack(_table(spark, folder, "documents"))
 
 
+@_query
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.matches(_table(spark, folder, "documents"))
+
+
 @_query
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+@_query
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeats(_table(spark, folder, "documents"))
+
+
 @_query
 def op10_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     found = ownership.scan(_table(spark, folder, "documents"))
