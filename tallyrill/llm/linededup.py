@@ -2,8 +2,9 @@
 
 Two lines within ``k`` edits share one of ``k + 1`` segments of the shorter one, at a place that the
 lengths and the segment's number bound. Distinct lines are indexed by their segments under their length;
-each probes its own and the lengths a little below. What meets is verified by a bit-parallel edit distance
-over a band of ``2k + 1`` diagonals, after equal heads and tails are taken off.
+each probes its own and the lengths a little below, and leaves out lines whose letter counts differ by more
+than the edits explain. What meets is verified by a bit-parallel edit distance over a band of ``2k + 1``
+diagonals, after equal heads and tails are taken off.
 """
 
 from __future__ import annotations
@@ -46,6 +47,20 @@ def _probes(edits: int) -> list[tuple[int, str]]:
     return out
 
 
+LETTERS = "etnaoris"
+
+
+def _letters() -> str:
+    """SQL text: how often ``line`` of ``n`` characters has each of eight frequent letters, modulo 256, a byte each."""
+    return " | ".join(f"shiftleft(CAST((n - char_length(replace(line, '{c}', ''))) & 255 AS BIGINT), {8 * i})" for i, c in enumerate(LETTERS))
+
+
+def _unlike(a: str, b: str) -> str:
+    """SQL text: sum of differences of letter counts; an edit changes it by 2 at most."""
+    lanes = [f"abs((shiftright({a}, {8 * i}) & 255) - (shiftright({b}, {8 * i}) & 255))" for i in range(len(LETTERS))]
+    return " + ".join(f"least({x}, 256 - {x})" for x in lanes)
+
+
 def _common(a: str, b: str, side: str) -> str:
     """SQL text: how many characters two strings share at their left or right end, by binary lifting."""
     return (
@@ -101,7 +116,7 @@ def edit_distance(pairs: DataFrame, max_edits: int, chars_per_edit: int) -> Data
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text_key``, ``line_no`` (from 0) and ``line``, trimmed; blank lines and null texts have no rows."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    return own.select("doc_id", "text_key", "line_no", F.trim(F.regexp_replace("line", "[\\r\\t]+", " ")).alias("line")).where("line <> ''")
+    return own.select("doc_id", "text_key", "line_no", F.expr("trim(BOTH ' \\t\\r' FROM line)").alias("line")).where("line <> ''")
 
 
 def edit_join(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 30) -> DataFrame:
@@ -111,16 +126,17 @@ def edit_join(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 30) ->
     most; shorter lines than that have no links. Equal lines are one line.
     """
     distinct = lines.select("line", F.char_length("line").alias("n")).where(f"n >= {chars_per_edit}").groupBy("line", "n").agg(F.lit(1))
-    own = distinct.select(F.xxhash64("line").alias("id"), "line", "n")
+    own = distinct.select(F.xxhash64("line").alias("id"), "line", "n", F.expr(_letters()).alias("letters"))
     indexed = F.coalesce(*[F.when(F.expr(budget("n", chars_per_edit, max_edits)) == e, F.expr(_segments(e))) for e in range(1, max_edits + 1)])
     # a probe counts if a line of that length has that many edits
     probes = F.array_compact(F.array(*[
         F.when(F.expr(f"{budget(f'(n - {longer})', chars_per_edit, max_edits)} = {e}"), F.expr(p))
         for e in range(1, max_edits + 1) for longer, p in _probes(e)
     ]))
-    index = own.select(F.col("id").alias("a"), F.explode(indexed).alias("segment"))
-    probe = own.select(F.col("id").alias("b"), F.explode(probes).alias("segment"))
-    met = index.join(probe, "segment").where("a <> b").select("a", "b").distinct()
+    index = own.select(F.col("id").alias("a"), F.col("letters").alias("la"), F.explode(indexed).alias("segment"))
+    probe = own.select(F.col("id").alias("b"), F.col("letters").alias("lb"), F.explode(probes).alias("segment"))
+    # lines that share a segment but too few letters aren't even paired
+    met = index.join(probe, "segment").where("a <> b").where(f"{_unlike('la', 'lb')} <= {2 * max_edits}").select("a", "b").distinct()
     met = staged(met, "met")
     ids = met.select("a").union(met.select("b")).distinct().withColumnRenamed("a", "id")
     few = ids.count() <= BROADCAST_ROWS
@@ -166,5 +182,5 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = keyed.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key")), "left")
     left = F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    out = joined.withColumn("__text", text).where(F.col("__gone").isNull() | (F.trim(F.regexp_replace("__text", "[\\r\\t\\n]+", " ")) != ""))
+    out = joined.withColumn("__text", text).where(F.col("__gone").isNull() | (F.expr("trim(BOTH ' \\t\\r\\n' FROM __text)") != ""))
     return out.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
