@@ -2,7 +2,7 @@
 
 A seed is the hash of the words at a mask's set positions; the others may differ. Seeds of all documents
 are joined with those of the benchmark. Around each hit, document and item are laid side by side and the
-best run of words is taken, where a match counts 1 and a substitution costs ``PENALTY``.
+best run of words is taken, where a match counts 1 and a substitution costs a penalty.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyrill.llm.base import staged, texts
 
-MASKS = ("110110011011", "111000110111")  # 8 of 12 words each
-PENALTY = 4  # a run keeps at least 4 of 5 words
+MASKS = ("11110011001", "11001011011")  # 7 of 11 words; together they meet any 13 words with one changed, 16 with two
+SHARE = 0.8  # of a run's words match
+PENALTIES = (1, 4)  # a substitution's cost: the widest run, and the dense one if that falls under the share
 BROADCAST_ROWS = 1_000_000  # benchmark seeds of 32 bytes, or item words of 8
 
 
@@ -35,13 +36,23 @@ def _seeds(masks: list[str]) -> str:
     return f"flatten(transform(array(words), w -> concat({', '.join(parts)})))"
 
 
+def _best_run(penalty: int) -> str:
+    """SQL text: first, end and matches of the run with the best score in ``run`` against ``item`` from ``a`` on."""
+    return f"""aggregate(sequence(0, size(run) - 1), named_struct('s', 0, 'f', 0, 'm', 0, 'bs', 0, 'bf', 0, 'be', 0, 'bm', 0), (x, i) ->
+        get(transform(array(IF(get(run, i) = get(item, a + i),
+            named_struct('s', x.s + 1, 'f', IF(x.s = 0, i, x.f), 'm', IF(x.s = 0, 1, x.m + 1)),
+            named_struct('s', greatest(0, x.s - {penalty}), 'f', x.f, 'm', x.m))), y ->
+          IF(y.s > x.bs, named_struct('s', y.s, 'f', y.f, 'm', y.m, 'bs', y.s, 'bf', y.f, 'be', i + 1, 'bm', y.m),
+            named_struct('s', y.s, 'f', y.f, 'm', y.m, 'bs', x.bs, 'bf', x.bf, 'be', x.be, 'bm', x.bm))), 0))"""
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_words: int = 13
 ) -> DataFrame:
     """One row per verified overlap: ``doc_id``, ``item_id``, ``doc_start``, ``item_start``, ``n_words``, ``matched``.
 
-    An overlap is a run without insertions, of at least ``min_words`` matching words (or the whole item, if
-    shorter), of which at most one in five is substituted. Items with fewer words than a mask have to occur
+    An overlap is a run without insertions, of at least ``min_words`` matching words (four in five of the
+    item's, if that is fewer), of which at most one in five is substituted. Items with fewer words than a mask have to occur
     whole. Null and empty texts overlap nothing; repeated rows give equal overlaps once; items of one id
     and different texts are told apart by their text.
     """
@@ -73,16 +84,14 @@ def contamination(
     by_key = items.select("key", F.col("item_id").alias("i"), F.col("words").alias("item"), "n")
     n_words = items.agg(F.sum("n")).first()[0] or 0
     met = runs.join(F.broadcast(by_key) if n_words <= BROADCAST_ROWS else by_key, (runs.key == by_key.key) & runs.item_id.eqNullSafe(by_key.i))
-    best = F.expr(
-        f"""aggregate(sequence(0, size(run) - 1), named_struct('s', 0, 'f', 0, 'm', 0, 'bs', 0, 'bf', 0, 'be', 0, 'bm', 0), (x, i) ->
-        get(transform(array(IF(get(run, i) = get(item, a + i),
-            named_struct('s', x.s + 1, 'f', IF(x.s = 0, i, x.f), 'm', IF(x.s = 0, 1, x.m + 1)),
-            named_struct('s', greatest(0, x.s - {PENALTY}), 'f', x.f, 'm', x.m))), y ->
-          IF(y.s > x.bs, named_struct('s', y.s, 'f', y.f, 'm', y.m, 'bs', y.s, 'bf', y.f, 'be', i + 1, 'bm', y.m),
-            named_struct('s', y.s, 'f', y.f, 'm', y.m, 'bs', x.bs, 'bf', x.bf, 'be', x.be, 'bm', x.bm))), 0))"""
-    )
-    scored = met.where("size(run) > 0").select("doc_id", "item_id", "shift", "a", "n", best.alias("b"))
-    good = scored.where(F.expr(f"b.bm >= least({min_words}, n) AND (n >= {span} OR b.bm = n)"))
+    scored = met.where("size(run) > 0").select("doc_id", "item_id", "shift", "a", "n", *[F.expr(_best_run(p)).alias(f"b{p}") for p in PENALTIES])
+
+    def enough(b: str) -> str:
+        least = f"least({min_words}, CAST(ceil(n * {SHARE}) AS INT))"
+        return f"({b}.bm >= {least} AND {b}.bm >= {SHARE} * ({b}.be - {b}.bf) AND (n >= {span} OR {b}.bm = n))"
+
+    wide, dense = (f"b{p}" for p in PENALTIES)
+    good = scored.where(F.expr(f"{enough(wide)} OR {enough(dense)}")).withColumn("b", F.expr(f"IF({enough(wide)}, {wide}, {dense})"))
     return good.select("doc_id", "item_id", F.expr("shift + a + b.bf").alias("doc_start"), F.expr("a + b.bf").alias("item_start"), F.expr("b.be - b.bf").alias("n_words"), F.expr("b.bm").alias("matched")).distinct()
 
 
