@@ -87,13 +87,26 @@ def normal(sentence: str) -> str:
 
 
 def normalised(sentence: str) -> Column:
+    """As ``normal`` does."""
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """Sentences end at a full stop, question or exclamation mark before white space, or at a line end."""
-    ends = "(?<=[.!?])[\\s\"']+|\\n+"
-    return docs.select("*", F.posexplode(F.split("text", ends)).alias("sentence_no", "sentence")).drop("text")
+    """Sentences end at a full stop, question or exclamation mark before white space, at a colon before a capital, or at a line end.
+
+    A line that goes on in the same case in the next one, or ends in a word that ends no sentence, is wrapped;
+    comment signs between go.
+    """
+    signs = "[ \\t]*\\n[ \\t#*/;-]*"
+    wraps = "|".join(
+        [
+            f'(?<=[a-z,;")(]){signs}(?!http)(?=[a-z("])',
+            f'(?<=[A-Z,]){signs}(?=[A-Z]{{2}}|")',
+            f"(?<= (?:the|of|a|to|and|or|in|for|by|with|this|is)){signs}(?=[A-Z])",
+        ]
+    )
+    ends = "(?<=[.!?])[\\s\"']+|(?<=:)\\s+(?=[A-Z])|\\n+"
+    return docs.select("*", F.posexplode(F.split(F.regexp_replace("text", wraps, " "), ends)).alias("sentence_no", "sentence")).drop("text")
 
 
 def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] | None = None, rules: list[tuple[str, tuple[str, ...]]] | None = None) -> DataFrame:
