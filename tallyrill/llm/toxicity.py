@@ -63,7 +63,7 @@ def windows(text: str) -> list[str]:
 
 def _compressor(dictionary: bytes):
     how = zstandard.ZstdCompressionParameters(window_log=13, hash_log=10, chain_log=10, search_log=4, min_match=4, target_length=64, strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False, write_dict_id=False)
-    known = zstandard.ZstdCompressionDict(dictionary)
+    known = zstandard.ZstdCompressionDict(dictionary or bytes(8))
     known.precompute_compress(compression_params=how)
     return zstandard.ZstdCompressor(compression_params=how, dict_data=known).compress
 
@@ -118,6 +118,14 @@ def _best(word: str, surplus: dict[str, float]) -> float:
     return max((surplus.get(word[:n], 0.0) for n in STEMS if n <= len(word)), default=0.0)
 
 
+def _dictionary(samples: list[bytes], size: int) -> bytes:
+    """Trained by zstandard; where the samples are too few for that, the samples themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-size:]
+
+
 def fit(rows: list[tuple[str, int]], dictionary: int = 4096) -> Model:
     """A model from (text, toxic) rows. With one class only it gives that class's rate."""
     rows = [(t or "", int(bool(y))) for t, y in rows]
@@ -136,9 +144,8 @@ def fit(rows: list[tuple[str, int]], dictionary: int = 4096) -> Model:
     for own, (_, y) in zip(words, rows, strict=True):
         samples[y].extend(_coded(w) for w in sorted(own) if _best(w, toxic if y else other) >= (6 if y else 3))
     step = max(1, len(samples[0]) // max(1, 4 * len(samples[1])))
-    try:
-        trained = [zstandard.train_dictionary(dictionary, s).as_bytes() for s in (samples[1], samples[0][::step])]
-    except zstandard.ZstdError:  # too few windows stand out
+    trained = [_dictionary(s, dictionary) for s in (samples[1], samples[0][::step])]
+    if len(trained[0]) < 8:  # no window stands out
         return Model(base=base)
     model = Model(trained[0], trained[1])
     distances = _Distances(model)
