@@ -149,11 +149,12 @@ class SearchSpace:
 
 
 def regressors(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], y: str, space: SearchSpace, long: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], y: str, space: SearchSpace, long: bool = False, every: bool = False
 ) -> DataFrame:
     """Rows with target, own lags and error lags for every (key, d, sd).
 
-    All orders of a grid get the same rows: those on which the largest one is defined.
+    All orders of a grid get the same rows: those on which the largest one is defined. With ``every`` the
+    others stay too, and ``__shared`` tells them apart.
     """
     groups = [*keys, "d", "sd"]
     placed = _placed(df, keys, order, long).drop("__len")
@@ -176,14 +177,13 @@ def regressors(
     reach = max([*space.e_lags, 0])
     widest = max(len(difference_weights(*pair, space.s)) for pair in space.pairs) - 1
     shared = F.col("__pos") > widest + space.long_ar + reach
-    if not reach:
-        return second.filter(shared).select(*groups, "__pos", "y", "e", *space.columns)
 
     def errors(spec):
         return {f"e{j}": F.lag("e", j).over(spec) for j in space.e_lags}
 
-    lagged = _back(second, groups, reach, errors, long)
-    return lagged.filter(shared).select(*groups, "__pos", "y", "e", *space.columns)
+    lagged = _back(second, groups, reach, errors, long) if reach else second
+    chosen = lagged.select(*groups, "__pos", "y", "e", *space.columns, shared.alias("__shared"))
+    return chosen if every else chosen.filter("__shared").drop("__shared")
 
 
 _FIT = T.StructType(
@@ -223,10 +223,10 @@ def _fitter(space: SearchSpace):
         for rows_n, v, oid in zip(n, xx, order_id):
             own, err = plan[int(oid)]
             use = [*const, *own, *err]
-            full = _square(np.asarray(v, dtype=float))
-            if rows_n <= len(use) + 1:
+            if v is None or rows_n <= len(use) + 1:
                 rows.append((None, None, len(use) + 1, None, None, "too short"))
                 continue
+            full = _square(np.asarray(v, dtype=float))
             coef, sse, _ = _solve(full, use)
             padded = np.zeros(width)
             padded[[i - 1 for i in use]] = coef
@@ -261,12 +261,9 @@ def order_search(
     listed = ", ".join(
         "named_struct(" + ", ".join(f"'{k}', {int(g[k])}" for k in ("order_id", *ORDER)) + ")" for g in space.grid
     )
-    orders = F.expr(f"array({listed})")
-    asked = (
-        sums.withColumn("__o", F.explode(orders))
-        .filter((F.col("__o.d") == F.col("d")) & (F.col("__o.sd") == F.col("sd")))
-        .select(*keys, "n", "xx", "__o.*")
-    )
+    # every series has its orders, also one that is too short for a single row of regressors
+    orders = df.select(*keys).distinct().select(*keys, F.explode(F.expr(f"array({listed})")).alias("__o")).select(*keys, "__o.*")
+    asked = null_safe_join(orders, sums.select(*keys, "d", "sd", "n", "xx"), [*keys, "d", "sd"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     fitted = asked.withColumn("__f", _fitter(space)("n", "xx", "order_id"))
     sigma2 = F.when(F.col("sse") > 0, F.col("sse") / F.col("n"))
     loglik = -F.col("n") / 2 * (F.ln(2 * math.pi * sigma2) + 1)
@@ -325,12 +322,18 @@ def _forecaster(space: SearchSpace, g: dict, steps: int):
     z_terms = [(int(space.columns[i][1:]), i - 1) for i in own]
     e_terms = [(int(space.columns[i][1:]), i - 1) for i in err]
     const = 0 if space.const else None
+    reach = max([*space.z_lags, *space.e_lags, len(weights), 1])
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def ahead(y_tail: pd.Series, z_tail: pd.Series, e_tail: pd.Series, coef: pd.Series) -> pd.Series:
         out = []
         for ys, zs, es, c in zip(y_tail, z_tail, e_tail, coef):
-            ys, zs, es, made = list(ys), list(zs), list(es), []
+            if c is None or ys is None:
+                out.append([None] * steps)
+                continue
+            # before its start a series has no values, and errors count as zero
+            ys, zs = ([*[math.nan] * reach, *(math.nan if v is None else v for v in x)] for x in (ys, zs))
+            es, made = [*[0.0] * reach, *(0.0 if v is None or v != v else v for v in es)], []
             for _ in range(steps):
                 z = (c[const] if const is not None else 0.0) + sum(c[i] * zs[-j] for j, i in z_terms)
                 z += sum(c[i] * es[-j] for j, i in e_terms)
@@ -338,7 +341,7 @@ def _forecaster(space: SearchSpace, g: dict, steps: int):
                 zs.append(z)
                 es.append(0.0)
                 ys.append(y)
-                made.append(float(y))
+                made.append(None if y != y else float(y))
             out.append(made)
         return pd.Series(out)
 
@@ -351,27 +354,31 @@ def fit_and_predict(
 ) -> DataFrame:
     """One-step predictions on the sample and ``steps`` rows beyond it, per series.
 
-    Rows are (keys, step, yhat, is_forecast); step is the row's position in its series. A
-    forecast needs the last few rows of a series only, so no series goes whole to one task.
+    Rows are (keys, step, yhat, is_forecast, status); step is the row's position in its series. A forecast
+    needs the last few rows of a series only, so no series goes whole to one task. A series that cannot
+    be fitted, or is too short to go on from, keeps its forecast rows with a null and its status.
     """
     g = {**{k: 0 for k in ORDER}, **spec, "order_id": 0}
     space = SearchSpace([g], s, trend)
-    rows = stage(regressors(df, keys, order, y, space, long), "arima-rows")
-    fits = stage(order_search(df, keys, order, y, [g], s, trend, rows).filter("status = 'ok'"), "arima-fits")
+    every = stage(regressors(df, keys, order, y, space, long, every=True), "arima-rows")
+    rows = every.filter("__shared").drop("__shared")
+    found = stage(order_search(df, keys, order, y, [g], s, trend, rows).select(*keys, *ORDER, "order_id", "coef", "status"), "arima-fits")
+    fits = found.filter("status = 'ok'")
     err = stage(residuals(rows, fits, keys, space), "arima-resid")
-    inside = err.select(*keys, F.col("__pos").alias("step"), (F.col("y") - F.col("resid")).alias("yhat"), F.lit(False).alias("is_forecast"))
+    inside = err.select(
+        *keys, F.col("__pos").alias("step"), (F.col("y") - F.col("resid")).alias("yhat"), F.lit(False).alias("is_forecast"), F.lit("ok").alias("status")
+    )
     # future errors start from those of the first stage, as in the regression itself
     tail_len = max([*space.z_lags, *space.e_lags, len(difference_weights(g["d"], g["sd"], s)), 1])
-    ends = rows.groupBy(*keys).agg(F.max("__pos").alias("__last"), F.count(F.lit(1)).alias("__size"))
-    tail = join_back(rows, ends, keys, "__size").filter(F.col("__pos") > F.col("__last") - tail_len)
-    lists = tail.groupBy(*keys).agg(
-        F.max("__last").alias("__last"),
-        F.sort_array(F.collect_list(F.struct("__pos", "y", "z", "e"))).alias("__t"),
+    ends = every.groupBy(*keys).agg(F.max("__pos").alias("__last"), F.count(F.lit(1)).alias("__size"))
+    tail = join_back(every, ends, keys, "__size").filter(F.col("__pos") > F.col("__last") - tail_len)
+    lists = tail.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__pos", "y", "z", "e"))).alias("__t"))
+    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__last"))
+    ready = null_safe_join(null_safe_join(lengths, lists, list(keys), "left"), found.select(*keys, "coef", "status"), list(keys), "left")
+    made = _forecaster(space, g, steps)("__t.y", "__t.z", "__t.e", F.when(F.col("status") == "ok", F.col("coef")))
+    future = ready.select(*keys, "__last", "status", F.posexplode(made).alias("__i", "yhat")).select(
+        *keys, (F.col("__last") + F.col("__i") + 1).alias("step"), "yhat", F.lit(True).alias("is_forecast"), "status"
     )
-    ready = null_safe_join(lists, fits.select(*keys, "coef"), list(keys), "inner")
-    future = ready.select(
-        *keys, "__last", F.posexplode(_forecaster(space, g, steps)("__t.y", "__t.z", "__t.e", "coef")).alias("__i", "yhat")
-    ).select(*keys, (F.col("__last") + F.col("__i") + 1).alias("step"), "yhat", F.lit(True).alias("is_forecast"))
     return inside.unionByName(future)
 
 
@@ -437,8 +444,8 @@ def unit_root(
 ) -> DataFrame:
     """Augmented Dickey-Fuller statistic with constant; the lag has the lowest AIC.
 
-    Candidate lags go up to 12 (n / 100)^(1/4) of the series; all are compared on the rows
-    on which the longest is defined.
+    Candidate lags go up to 12 (n / 100)^(1/4) of each series; all are compared on the rows on which the
+    series' longest is defined, so a result does not depend on the other series.
     """
     placed = _placed(df.filter(F.col(y).isNotNull()), keys, order, long)
     limit = F.floor(12 * F.pow(F.col("__len") / 100.0, F.lit(0.25)))
@@ -453,7 +460,10 @@ def unit_root(
         stepped = _back(
             stepped, keys, max_lag, lambda w: {f"dy{j}": F.lag("dy", j).over(w) for j in range(1, max_lag + 1)}, long
         )
-    lengths = stepped.groupBy(*keys).agg(F.least(F.max(limit), F.lit(max_lag)).cast("int").alias("max_lag"))
+    # a series has its own rows: those that its own longest lag leaves it; beyond that lag nothing is used
+    own = F.least(limit, F.lit(max_lag)).cast("int")
+    stepped = stepped.filter(F.col("__pos") > own + 1).withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
+    lengths = stepped.groupBy(*keys).agg(F.max(own).alias("max_lag"))
     sums = sums_of_products(stepped, keys, ["dy", "one", "level", *names])
     tested = null_safe_join(sums, lengths, list(keys), "inner").withColumn("__u", _unit_root("n", "xx", "max_lag"))
     n = F.col("n")

@@ -27,20 +27,15 @@ def log_loss(label: str = "label", p: str = "p", eps: float = 1e-15) -> Column:
 
 
 def confusion(df: DataFrame, labels: Sequence, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Counts per (label, prediction), with zero for pairs that do not occur."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias(label), F.lit(b).alias(prediction), F.col(f"__{i}_{j}").alias("n"))
-            for i, a in enumerate(labels)
-            for j, b in enumerate(labels)
-        ]
-    )
-    hits = [
-        F.count_if((F.col(label) == a) & (F.col(prediction) == b)).alias(f"__{i}_{j}")
-        for i, a in enumerate(labels)
-        for j, b in enumerate(labels)
-    ]
-    return df.agg(*hits).select(F.inline(cells))
+    """Counts per (label, prediction), with zero for pairs of ``labels`` that do not occur.
+
+    Labels and predictions that aren't listed have rows of their own, nulls too.
+    """
+    spark = df.sparkSession
+    kinds = df.select(label, prediction).schema
+    cells = spark.createDataFrame([(a, b, 0) for a in labels for b in labels], f"`{label}` {kinds[label].dataType.simpleString()}, `{prediction}` {kinds[prediction].dataType.simpleString()}, n bigint")
+    found = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
+    return found.unionByName(cells).groupBy(label, prediction).agg(F.sum("n").alias("n"))
 
 
 def weighted_f1(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

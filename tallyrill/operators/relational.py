@@ -59,31 +59,29 @@ def join_back(
     keys: Sequence[str],
     rows: str | None = None,
     share: float = 1e-4,
-    floor: int = 1_000_000,
 ) -> DataFrame:
     """Give every row the values of its key, from a table with one row per key; null keys match.
 
-    A per-key table that was aggregated on the join keys keeps their partitioning, and then a
-    hot key can not be split by the engine. So keys with more than ``share`` of all rows (and
-    more than ``floor`` rows) are joined by broadcast: there can be at most 1 / share of them.
-    The rows of all other keys are shuffled as usual. ``rows`` names the row count of the key
-    in ``per_key``; without it the rows are counted here.
+    A per-key table that was aggregated on the join keys keeps their partitioning, and then a hot key
+    can not be split by the engine. So a key gets one salt for each ``share`` of all rows that it has:
+    its values are repeated per salt, its rows spread over them. Keys of one salt need not be
+    named; the table of the others has at most 1 / share rows and is broadcast. ``rows`` names the row
+    count of the key in ``per_key``; without it the rows are counted here.
     """
     keys = list(keys)
-    sized = per_key.withColumnRenamed(rows, "__rows") if rows else null_safe_join(
+    sized = per_key.withColumn("__rows", F.col(rows)) if rows else null_safe_join(
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), per_key, keys, "left"
     )
     total = sized.agg(F.sum("__rows")).scalar()
-    hot = F.col("__rows") > F.greatest(total * F.lit(share), F.lit(float(floor)))
-    heavy, light = sized.filter(hot), sized.filter(~hot)
-    name = {"__rows": rows} if rows else {}
-
-    def done(t: DataFrame) -> DataFrame:
-        return t.withColumnsRenamed(name) if rows else t.drop("__rows")
-
-    by_broadcast = null_safe_join(df, F.broadcast(done(heavy)), keys, "inner")
-    others = null_safe_join(df, F.broadcast(heavy.select(*keys)), keys, "left_anti")
-    return by_broadcast.unionByName(null_safe_join(others, done(light), keys, "inner"))
+    salts = F.greatest(F.lit(1), F.ceil(F.col("__rows") / (total * share))).cast("int")
+    salted = sized.withColumn("__salts", salts).drop("__rows")
+    hot = salted.filter("__salts > 1").select(*keys, "__salts")
+    # any salt of a key has the key's values, so which one a row gets doesn't matter
+    spread = null_safe_join(df, F.broadcast(hot), keys, "left").withColumn(
+        "__salt", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("__salts")).cast("int"), F.lit(0))
+    )
+    each = salted.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+    return null_safe_join(spread.drop("__salts"), each, [*keys, "__salt"], "inner").drop("__salt")
 
 
 def keep_members(df: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -80,10 +80,12 @@ def tf_idf(counts: DataFrame, doc: str, n_docs: Column) -> DataFrame:
 def vocabulary_presence(df: DataFrame, text: str, vocabulary: DataFrame, size: int, out: str = "present") -> DataFrame:
     """0/1 array saying which vocabulary words occur anywhere in the text (substring test).
 
-    ``vocabulary`` has a column ``term``; at most ``size`` words of it are read to the driver
-    and go with the tasks as one array literal.
+    ``vocabulary`` has a column ``term``. It is read to the driver and goes with the tasks as one
+    array literal, in order of the words; more than ``size`` words are an error, none is left out.
     """
-    terms = [r["term"] for r in vocabulary.select("term").orderBy("term").limit(size).collect()]
+    terms = sorted(r["term"] for r in vocabulary.select("term").limit(size + 1).collect())
+    if len(terms) > size:
+        raise ValueError(f"the vocabulary has more than {size} words")
     listed = F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
     # the one-element array makes the lower-case text once per row, not once per word
     once = F.array(F.lower(F.col(text)))

@@ -16,10 +16,8 @@ from pyspark.ml.evaluation import (
     ClusteringEvaluator,
     MulticlassClassificationEvaluator,
 )
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tallyrill.functions import scalars as S
@@ -70,13 +68,14 @@ def fea02(spark, sf):
 @query(
     "fea03_contrasts",
     f"""SELECT sum(CASE WHEN embarked = 'M' THEN 1 ELSE 0 END)::BIGINT AS m, sum(CASE WHEN embarked = 'F' THEN 1 ELSE 0 END)::BIGINT AS f,
-        sum(CASE WHEN embarked = 'B' THEN 1 ELSE 0 END)::BIGINT AS b, count(*) AS n FROM {D.PASSENGERS} WHERE embarked <> ''""",
+        sum(CASE WHEN embarked = 'B' THEN 1 ELSE 0 END)::BIGINT AS b, sum(CASE WHEN embarked = 'A' THEN 1 ELSE 0 END)::BIGINT AS a,
+        count(*) AS n FROM {D.PASSENGERS}""",
 )
 def fea03(spark, sf):
-    """Levels A, B, F, M: three slots, the first level is the base."""
-    p = D.passengers(spark, sf).filter("embarked <> ''")
+    """Blank and levels A, B, F, M: four slots, the first level is the base."""
+    p = D.passengers(spark, sf).replace("", "(blank)", ["embarked"])
     out = FE.treatment_contrasts("embarked", "x").fit(p).transform(p).select(vector_to_array("x").alias("x"))
-    sums = [F.sum(F.col("x")[i]).cast("bigint").alias(n) for i, n in enumerate(("m", "f", "b"))]
+    sums = [F.sum(F.col("x")[i]).cast("bigint").alias(n) for i, n in enumerate(("m", "f", "b", "a"))]
     return out.agg(*sums, F.count(F.lit(1)).alias("n"))
 
 
@@ -139,17 +138,9 @@ def fea06(spark, sf):
 
 @query("fea09_count_vector", f"SELECT term, count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM {COUNTS} GROUP BY 1")
 def fea09b(spark, sf):
-    """Count vectors stay sparse; their slots are summed up into one vector of vocabulary size."""
-    docs = D.texts(spark, sf).select("doc_id", X.plain_tokens("text").alias("tokens"))
-    fitted = CountVectorizer(inputCol="tokens", outputCol="v").fit(docs)
-    both = fitted.transform(docs).agg(Summarizer.metrics("numNonZeros", "sum").summary(F.col("v")).alias("s"))
-    slots = both.select(
-        F.posexplode(F.arrays_zip(vector_to_array("s.numNonZeros").alias("docs"), vector_to_array("s.sum").alias("total"))).alias("slot", "x")
-    )
-    words = spark.createDataFrame(list(enumerate(fitted.vocabulary)), "slot int, term string")
-    return words.join(slots, "slot").select(
-        "term", F.round("x.docs").cast("bigint").alias("docs"), F.round("x.total").cast("bigint").alias("total")
-    )
+    """Sparse counts per document, of all terms, summed up by term where they are."""
+    counts = X.term_counts(D.all_texts(spark, sf), "doc_id", X.plain_tokens("text"))
+    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total"))
 
 
 @query("fea13_column_selector", f"SELECT id, v79, v14 FROM {D.CLAIMS}")

@@ -468,13 +468,14 @@ def eva06(spark, sf):
 # --- text ---------------------------------------------------------------------------------
 TOKENS = r"regexp_extract_all(lower(text), 'https?://[^\s]+|[@#][A-Za-z0-9_]+|[\p{L}\p{N}'']+|[^\s\p{L}\p{N}]')"
 STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in dict.fromkeys([*X.STOP_WORDS, *X.STOP_SIGNS]))
-WORDS = f"""(SELECT doc_id, class, term FROM (SELECT doc_id, class, unnest({TOKENS}) AS term FROM {D.TEXTS})
-  WHERE term NOT LIKE '%http%' AND term NOT LIKE '#%' AND term NOT LIKE '%@%' AND length(term) >= 3 AND term NOT IN ({STOP_SQL}))"""
+CONTENT = f"""term NOT LIKE '%http%' AND term NOT LIKE '#%' AND term NOT LIKE '%@%' AND length(term) >= 3 AND term NOT IN ({STOP_SQL})"""
+WORDS = f"(SELECT doc_id, term FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) WHERE {CONTENT})"
+LABELLED_WORDS = f"(SELECT doc_id, class, term FROM (SELECT doc_id, class, unnest({TOKENS}) AS term FROM {D.TEXTS}) WHERE {CONTENT})"
 TOP_WORDS = f"(SELECT term, count(*) AS n FROM {WORDS} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50)"
 
 
 def content_words(spark, sf):
-    return X.words(D.texts(spark, sf), "text", ["doc_id", "class"])
+    return X.words(D.all_texts(spark, sf), "text", ["doc_id"])
 
 
 @query("fil09_content_tokens", f"SELECT doc_id, count(*) AS n, count(DISTINCT term) AS kinds FROM {WORDS} GROUP BY 1")
@@ -488,45 +489,45 @@ def agg26(spark, sf):
     return X.top_words(content_words(spark, sf), 50)
 
 
-@query("sca22_tokens_to_rows", f"SELECT term, count(*) AS n FROM (SELECT unnest({TOKENS}) AS term FROM {D.TEXTS}) GROUP BY 1")
+@query("sca22_tokens_to_rows", f"SELECT term, count(*) AS n FROM (SELECT unnest({TOKENS}) AS term FROM documents) GROUP BY 1")
 def sca22(spark, sf):
-    return X.word_frequency(D.texts(spark, sf).select(F.explode(X.tweet_tokens("text")).alias("term")))
+    return X.word_frequency(D.all_texts(spark, sf).select(F.explode(X.tweet_tokens("text")).alias("term")))
 
 
 PLAIN = r"list_filter(string_split_regex(lower(text), '\s'), lambda x: x <> '')"
 
 
-@query("fea07_tokenise", f"SELECT doc_id, len({PLAIN}) AS plain, len({TOKENS}) AS tweet FROM {D.TEXTS}")
+@query("fea07_tokenise", f"SELECT doc_id, len({PLAIN}) AS plain, len({TOKENS}) AS tweet FROM documents")
 def fea07(spark, sf):
-    return D.texts(spark, sf).select(
+    return D.all_texts(spark, sf).select(
         "doc_id", F.size(X.plain_tokens("text")).alias("plain"), F.size(X.tweet_tokens("text")).alias("tweet")
     )
 
 
 @query(
     "fea08_stop_words",
-    f"SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest({PLAIN}) AS term FROM {D.TEXTS}) WHERE term NOT IN ({STOP_SQL}) GROUP BY 1",
+    f"SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest({PLAIN}) AS term FROM documents) WHERE term NOT IN ({STOP_SQL}) GROUP BY 1",
 )
 def fea08(spark, sf):
     kept = X.without_stop_words(X.plain_tokens("text"))
-    return D.texts(spark, sf).select("doc_id", F.size(kept).alias("n")).filter("n > 0")
+    return D.all_texts(spark, sf).select("doc_id", F.size(kept).alias("n")).filter("n > 0")
 
 
-COUNTS = f"(SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({PLAIN}) AS term FROM {D.TEXTS}) GROUP BY 1, 2)"
+COUNTS = f"(SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({PLAIN}) AS term FROM documents) GROUP BY 1, 2)"
 
 
 @query("fea09_term_counts", COUNTS[1:-1])
 def fea09(spark, sf):
-    return X.term_counts(D.texts(spark, sf), "doc_id", X.plain_tokens("text"))
+    return X.term_counts(D.all_texts(spark, sf), "doc_id", X.plain_tokens("text"))
 
 
 @query(
     "fea10_tf_idf",
     f"""WITH c AS (SELECT * FROM {COUNTS}), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1)
-        SELECT doc_id, term, n, round(n * ln(((SELECT count(*) FROM {D.TEXTS}) + 1) / (df + 1)), 6) AS tf_idf FROM c JOIN d USING (term)""",
+        SELECT doc_id, term, n, round(n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS tf_idf FROM c JOIN d USING (term)""",
 )
 def fea10(spark, sf):
-    docs = D.texts(spark, sf)
+    docs = D.all_texts(spark, sf)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     weighted = X.tf_idf(X.term_counts(docs, "doc_id", X.plain_tokens("text")), "doc_id", n_docs)
     return weighted.withColumn("tf_idf", F.round("tf_idf", 6))
@@ -534,41 +535,41 @@ def fea10(spark, sf):
 
 @query(
     "fea11_vocabulary_presence",
-    f"""SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM {D.TEXTS}, (SELECT term FROM {TOP_WORDS}) GROUP BY 1""",
+    f"""SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM documents, (SELECT term FROM {TOP_WORDS}) GROUP BY 1""",
 )
 def fea11(spark, sf):
-    docs = D.texts(spark, sf)
+    docs = D.all_texts(spark, sf)
     vocab = X.top_words(X.words(docs, "text"), 50)
     marked = X.vocabulary_presence(docs, "text", vocab, 50)
     return marked.select("doc_id", F.aggregate("present", F.lit(0), lambda a, b: a + b).alias("hits"))
 
 
 LEXICON = f"""(SELECT term, round(avg(CASE WHEN class = 'neg' THEN -1.0 ELSE 1.0 END), 4) AS valence FROM
-  (SELECT DISTINCT doc_id, class, term FROM {WORDS}) GROUP BY 1 HAVING count(*) >= 5)"""
+  (SELECT DISTINCT doc_id, class, term FROM {LABELLED_WORDS}) GROUP BY 1 HAVING count(*) >= 5)"""
 
 
 def lexicon(spark, sf):
     """Valence of a word: mean sign of the labelled texts that use it, five at least."""
-    once = content_words(spark, sf).distinct()
+    once = X.words(D.texts(spark, sf), "text", ["doc_id", "class"]).distinct()
     sign = S.signed_label("class").cast("double")
     return once.groupBy("term").agg(F.round(F.avg(sign), 4).alias("valence"), F.count(F.lit(1)).alias("c")).filter("c >= 5").drop("c")
 
 
 @query(
     "fea12_lexicon_scores",
-    f"""SELECT doc_id, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) AS compound FROM {D.TEXTS} LEFT JOIN
-        (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM {D.TEXTS}) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
+    f"""SELECT doc_id, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) AS compound FROM documents LEFT JOIN
+        (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
 )
 def fea12(spark, sf):
-    scored_docs = X.lexicon_scores(D.texts(spark, sf), "doc_id", "text", stage(lexicon(spark, sf), "lexicon"))
+    scored_docs = X.lexicon_scores(D.all_texts(spark, sf), "doc_id", "text", stage(lexicon(spark, sf), "lexicon"))
     return scored_docs.withColumn("compound", F.round("compound", 6))
 
 
 @query(
     "joi09_two_features_one_row",
     f"""SELECT doc_id, hits, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) AS compound FROM
-        (SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM {D.TEXTS}, (SELECT term FROM {TOP_WORDS}) GROUP BY 1) LEFT JOIN
-        (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM {D.TEXTS}) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
+        (SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM documents, (SELECT term FROM {TOP_WORDS}) GROUP BY 1) LEFT JOIN
+        (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
 )
 def joi09(spark, sf):
     """Two feature lists meet by document key, not by their place in a list."""

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrill.plans.registry import table
-from tallyrill.session import widened
 
 # Columns that together name one lineitem row.
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -262,11 +261,15 @@ def titles(spark: SparkSession, folder: str) -> DataFrame:
 TITLES = "(SELECT s_suppkey AS itemid, s_name AS title FROM supplier)"
 
 
-# --- labelled texts -----------------------------------------------------------------------
+# --- texts, and the labelled ones -----------------------------------------------------------
+def all_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "text")
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents").select("doc_id", "text")
     lab = table(spark, folder, "labels")
-    return widened(d, "doc_id").join(lab, "doc_id").select(
+    return d.join(lab, "doc_id").select(
         "doc_id", "text", F.when(F.col("quality") == 1, "pos").otherwise("neg").alias("class")
     )
 

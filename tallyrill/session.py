@@ -55,13 +55,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def widened(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a plain scan over the session's cores when its files give too few tasks.
-
-    Meant for costly per-row work on a few large files. A table of many splits is left as it
-    is, so nothing is shuffled there. ``key`` should be unique.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

@@ -18,9 +18,10 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     columns: Sequence[str] | None = None,
+    **options,
 ) -> DataFrame:
     """Delimited text. Without a schema types are inferred; without a header names are _c0, _c1."""
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = spark.read.options(header=header, sep=sep, **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
     return nan_to_null(df.select(*columns) if columns else df)

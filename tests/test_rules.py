@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tallyrill.functions import scalars as S
@@ -117,6 +118,8 @@ def test_tails(spark):
 def test_confusion_has_all_cells(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (1, 0)], "label int, prediction int")
     assert rows(E.confusion(df, [0, 1])) == [(0, 0, 2), (0, 1, 0), (1, 0, 1), (1, 1, 0)]
+    more = df.union(spark.createDataFrame([(7, 0), (None, 1)], "label int, prediction int"))
+    assert rows(E.confusion(more, [0, 1])) == [(0, 0, 2), (0, 1, 0), (1, 0, 1), (1, 1, 0), (7, 0, 1), (None, 1, 1)]
     assert [r[0] for r in spark.createDataFrame([(0.5,), (0.51,)], "p double").select(E.threshold("p")).collect()] == [0, 1]
 
 
@@ -148,6 +151,8 @@ def test_text_tokens_and_lexicon(spark):
     vocab = spark.createDataFrame([("eat",), ("day",)], "term string")
     marks = {r["d"]: r["present"] for r in X.vocabulary_presence(df, "t", vocab, 10).collect()}
     assert marks == {1: [1, 1], 2: [1, 0], 3: [0, 0]}
+    with pytest.raises(ValueError, match="more than 1 words"):
+        X.vocabulary_presence(df, "t", vocab, 1)
 
 
 def test_category_drift_and_group_fill(spark):
@@ -162,8 +167,17 @@ def test_join_back_with_hot_and_null_keys(spark):
     df = spark.createDataFrame([("hot", i) for i in range(50)] + [(None, i) for i in range(30)] + [(f"k{i}", i) for i in range(20)], "k string, v int")
     sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top"))
     want = sorted(((r["k"], r["v"], {"hot": 50, None: 30}.get(r["k"], 1)) for r in df.collect()), key=str)
-    for share, floor in ((1e-4, 10), (0.35, 1), (1e-4, 1_000_000), (1e-4, 0)):
-        got = R.join_back(df, sizes, ["k"], "n", share, floor)
+    for share in (1e-4, 0.02, 0.35, 1.0):
+        got = R.join_back(df, sizes, ["k"], "n", share)
         assert got.columns == ["k", "v", "n", "top"]
         assert rows(got.select("k", "v", "n")) == want
-    assert rows(R.join_back(df, sizes.filter("n > 1").select("k", "top"), ["k"], share=1e-4, floor=10).select("k", "v")) == rows(df)
+    assert rows(R.join_back(df, sizes.select("k", "top"), ["k"]).select("k", "v")) == rows(df)
+
+
+def test_join_back_spreads_a_hot_key(spark, shuffles):
+    """90 % of the rows on one key: no task of the join gets more than a part of them."""
+    shuffles(16)
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("k"), "id")
+    joined = R.join_back(df, df.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"], "n", share=0.01)
+    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_000 and max(r["count"] for r in sizes) < 6_000
