@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-import json
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
     IDF,
     PCA,
     CountVectorizer,
+    ElementwiseProduct,
     OneHotEncoder,
     StandardScaler,
     StopWordsRemover,
     StringIndexer,
     Tokenizer,
     VectorAssembler,
+    VectorSlicer,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -48,33 +50,14 @@ class PopulationScaler(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadab
         super().__init__()
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> PopulationScalerModel:
-        x = vector_to_array(self.getInputCol())
-        width = dataset.select(F.size(x).alias("w")).first()["w"]
-        row = dataset.select(x.alias("x")).agg(
-            F.array(*[F.avg(F.col("x")[i]) for i in range(width)]).alias("m"),
-            F.array(*[F.stddev_pop(F.col("x")[i]) for i in range(width)]).alias("s"),
-        ).first()
-        return PopulationScalerModel(
-            inputCol=self.getInputCol(), outputCol=self.getOutputCol(), moments=json.dumps([row["m"], row["s"]])
-        )
-
-
-class PopulationScalerModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    moments = Param(Params._dummy(), "moments", "JSON list of means and of deviations", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, moments=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        means, devs = json.loads(self.getOrDefault(self.moments))
-        x = vector_to_array(self.getInputCol())
-        scaled = [
-            (x[i] - F.lit(m)) / F.lit(s) if s else F.lit(0.0) for i, (m, s) in enumerate(zip(means, devs))
-        ]
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(F.array(*scaled)))
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        """The sample form, then every slot times the root of n / (n - 1)."""
+        sample = f"__{self.getOutputCol()}"
+        scaler = StandardScaler(inputCol=self.getInputCol(), outputCol=sample, withMean=True, withStd=True).fit(dataset)
+        n = dataset.count()
+        factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+        scale = ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(scaler.mean)), inputCol=sample, outputCol=self.getOutputCol())
+        return PipelineModel(stages=[scaler, scale])
 
 
 def category_index(columns: Sequence[str], suffix: str = "_idx", by: str = "alphabetAsc") -> StringIndexer:
@@ -124,19 +107,16 @@ def mixed_stages(numeric: Sequence[str], categories: Sequence[str], out: str = "
 def components_for(df: DataFrame, column: str, share: float = 0.90, out: str = "reduced", limit: int | None = None):
     """Principal components that together explain ``share`` of the variance.
 
-    Returns the fitted model with that many components and its explained shares. The vector
-    has to be centred already; the work on the driver is of the size width x width.
+    Returns a model that gives that many components, and the explained shares of all. The vector has to
+    be centred already; the work on the driver is of the size width x width.
     """
-    width = df.select(F.size(vector_to_array(column)).alias("w")).first()["w"]
-    model = PCA(k=min(width, limit or width), inputCol=column, outputCol=out).fit(df)
+    width = len(df.select(column).first()[0])
+    whole = f"__{out}"
+    model = PCA(k=min(width, limit or width), inputCol=column, outputCol=whole).fit(df)
     shares = list(model.explainedVariance.toArray())
-    total, keep = 0.0, len(shares)
-    for i, v in enumerate(shares):
-        total += v
-        if total >= share:
-            keep = i + 1
-            break
-    return PCA(k=keep, inputCol=column, outputCol=out).fit(df), shares
+    keep = min(int(np.searchsorted(np.cumsum(shares), share)) + 1, len(shares))
+    first = VectorSlicer(inputCol=whole, outputCol=out, indices=list(range(keep)))
+    return PipelineModel(stages=[model, first]), shares
 
 
 def text_stages(text: str = "text", label: str = "class", length: str = "length", vocab_size: int = 1 << 14) -> Pipeline:

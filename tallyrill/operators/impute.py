@@ -96,8 +96,8 @@ def fill_chained(
 ) -> DataFrame:
     """Chained regressions: each column with gaps is predicted from all the others, in turn.
 
-    Starts from column means. A round fits one regression per column on its observed rows and
-    renews the missing cells; the table is written once per round, so the plan stays short.
+    Starts from column means. A round fits one regression per column on its observed rows and renews
+    the missing cells; the table is written once per column, so no fit runs earlier predictions again.
     One completed table results, not several draws.
     """
     gaps = {c: f"__gap_{c}" for c in columns}
@@ -113,6 +113,5 @@ def fill_chained(
                 learner = RandomForestRegressor(featuresCol="__x", labelCol=c, predictionCol="__p", numTrees=10, seed=seed)
             model = learner.fit(shaped.filter(~F.col(gaps[c])))
             renewed = F.when(F.col(gaps[c]), F.col("__p")).otherwise(F.col(c))
-            work = model.transform(shaped).withColumn(c, renewed).drop("__x", "__p")
-        work = stage(work, "chained")
+            work = stage(model.transform(shaped).withColumn(c, renewed).drop("__x", "__p"), "chained")
     return work.drop(*gaps.values())

@@ -1,10 +1,4 @@
-"""Exact k nearest neighbours without comparing all pairs.
-
-Training rows are assigned to the nearest of a bounded number of pivots. A query first visits
-its own cell, which gives an upper bound for its k-th distance; it then visits only cells
-that the triangle inequality cannot rule out. Cells are cut into blocks and the queries of a
-cell into slices, so that a hot cell or a crowd of queries spreads over many tasks.
-"""
+"""k nearest neighbours: exactly, by blocks of all rows, or among rows that share a hashed bucket."""
 
 from __future__ import annotations
 
@@ -15,9 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrill.functions.scalars import hash_unit
 from tallyrill.operators.recommend import top_per
-from tallyrill.session import stage
 
 
 def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -25,16 +17,6 @@ def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d2, 0.0))
 
 
-def _to_pivots(df: DataFrame, vector: str, pivots: np.ndarray, out: str) -> DataFrame:
-    """Array of distances to all pivots, by Arrow batches."""
-
-    @F.pandas_udf("array<double>")
-    def far(v: pd.Series) -> pd.Series:
-        return pd.Series(list(_distances(np.stack(v.to_numpy()).astype(float), pivots))) if len(v) else pd.Series([], dtype=object)
-
-    return df.withColumn(out, far(vector))
-
-
 def _block_search(k: int):
     def search(train: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         cols = ["query_id", "train_id", "label", "distance"]
@@ -60,84 +42,67 @@ def _block_search(k: int):
     return search
 
 
-def _visit(train: DataFrame, routed: DataFrame, k: int, block_rows: int, slice_rows: int) -> DataFrame:
-    """Search the (query, cell) pairs; every group holds one block and one slice."""
-    blocks = train.groupBy("cell").agg(F.count(F.lit(1)).alias("__t"))
-    crowd = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("__q"))
-    # one row per cell, and the number of cells is bounded by the number of pivots
-    plan = F.broadcast(
-        blocks.join(crowd, "cell").select(
-            "cell",
-            F.ceil(F.col("__t") / block_rows).alias("n_blocks"),
-            F.ceil(F.col("__q") / slice_rows).alias("n_slices"),
-        )
-    )
-    left = (
-        train.join(plan, "cell")
-        .withColumn("block", F.pmod(F.xxhash64("train_id"), "n_blocks"))
-        .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_slices") - 1)))
-        .select("cell", "block", "slice", "train_id", "label", "v")
-    )
-    right = (
-        routed.join(plan, "cell")
-        .withColumn("slice", F.pmod(F.xxhash64("query_id"), "n_slices"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)))
-        .select("cell", "block", "slice", "query_id", "v")
-    )
-    keys = ["cell", "block", "slice"]
-    return (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
+def _searched(train: DataFrame, queries: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Best k of each group's training rows for its queries, then of all groups."""
+    found = (
+        train.groupBy(*keys)
+        .cogroup(queries.groupBy(*keys))
         .applyInPandas(_block_search(k), "query_id bigint, train_id bigint, label double, distance double")
     )
+    return top_per(found, ["query_id"], [F.col("distance"), F.col("train_id")], k)
+
+
+def _rows(train: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return train.select("train_id", F.col("label").cast("double").alias("label"), "v"), queries.select("query_id", "v")
 
 
-def nearest(
-    train: DataFrame,
-    queries: DataFrame,
-    k: int,
-    pivots: int | None = None,
-    block_rows: int = 20_000,
-    slice_rows: int = 5_000,
-) -> DataFrame:
-    """k nearest training rows of every query by Euclidean distance, ties by training id.
+def nearest(train: DataFrame, queries: DataFrame, k: int, block_rows: int = 20_000, slice_rows: int = 5_000, most: int = 100_000_000_000) -> DataFrame:
+    """k nearest training rows of every query by Euclidean distance, exactly; ties by training id.
 
-    ``train`` has (train_id, label, v) and ``queries`` (query_id, v), v an array of numbers.
-    Without ``pivots`` their number is the root of the training rows, from 16 to 1,024.
+    ``train`` has (train_id, label, v) and ``queries`` (query_id, v), v an array of numbers. Every query
+    meets every training row, in blocks of rows and slices of queries, so the work is their product:
+    more than ``most`` pairs are an error. ``nearest_hashed`` is the form for more.
     """
-    if pivots is None:
-        pivots = max(16, min(1024, math.isqrt(train.count())))
-    # a bounded number of vectors comes to the driver to act as pivots
-    chosen = train.select("v", hash_unit("train_id", 11).alias("u"), "train_id").orderBy("u", "train_id").limit(pivots).collect()
-    centres = np.array([r["v"] for r in chosen], dtype=float)
-    home = F.expr("array_position(__d, array_min(__d)) - 1")
-    t = _to_pivots(train.select("train_id", F.col("label").cast("double").alias("label"), "v"), "v", centres, "__d")
-    t = stage(t.select("train_id", "label", "v", home.alias("cell"), F.array_min("__d").alias("r")), "knn-train")
-    q = stage(_to_pivots(queries.select("query_id", "v"), "v", centres, "__d").withColumn("cell", home), "knn-query")
-
-    first = stage(_visit(t, q.select("query_id", "v", "cell"), k, block_rows, slice_rows), "knn-first")
-    found = top_per(first, ["query_id"], [F.col("distance"), F.col("train_id")], k)
-    bound = found.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound")
-    )
-    # a table of at most ``pivots`` rows, used as one array value
-    cells = t.groupBy("cell").agg(F.max("r").alias("hi"), F.min("r").alias("lo"))
-    listed = cells.agg(F.collect_list(F.struct("cell", "lo", "hi")).alias("c")).scalar()
-    routed = (
-        q.join(bound, "query_id", "left")
-        .withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-        .withColumn("__c", F.explode(listed))
-        .withColumn("__p", F.expr("element_at(__d, cast(__c.cell + 1 as int))"))
-        # a point of the cell is at least |d(q, pivot) - d(x, pivot)| away; the slack covers rounding
-        .filter(
-            (F.col("__c.cell") != F.col("cell"))
-            & (F.col("__p") - F.col("__c.hi") <= F.col("bound") + 1e-9)
-            & (F.col("__c.lo") - F.col("__p") <= F.col("bound") + 1e-9)
-        )
-        .select("query_id", "v", F.col("__c.cell").alias("cell"))
+    t, q = _rows(train, queries)
+    n, m = t.count(), q.count()
+    if n * m > most:
+        raise ValueError(f"{n} x {m} pairs are over the bound of {most}; use nearest_hashed")
+    blocks, slices = max(1, math.ceil(n / block_rows)), max(1, math.ceil(m / slice_rows))
+    t = t.withColumn("block", F.pmod(F.xxhash64("train_id"), F.lit(blocks))).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    q = q.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    return _searched(t, q, ["block", "slice"], k)
+
+
+def nearest_hashed(train: DataFrame, queries: DataFrame, k: int, width: int, bits: int = 8, tables: int = 24, block_rows: int = 20_000, seed: int = 11) -> DataFrame:
+    """k nearest among the training rows that share a bucket with the query; approximate.
+
+    A bucket is the signs of ``bits`` random projections of a vector of ``width`` numbers, in one of
+    ``tables`` tables. Buckets of more than ``block_rows`` training rows are cut into blocks that all see
+    the bucket's queries. Measure the recall against ``nearest`` before choosing the parameters.
+    """
+    planes = np.random.default_rng(seed).normal(size=(tables, bits, width))
+
+    @F.pandas_udf("array<bigint>")
+    def buckets(v: pd.Series) -> pd.Series:
+        x = np.stack(v.to_numpy()).astype(float) if len(v) else np.zeros((0, width))
+        codes = ((np.einsum("tbw,nw->ntb", planes, x) > 0) << np.arange(bits)).sum(2)
+        return pd.Series(list(codes))
+
+    t, q = _rows(train, queries)
+    t, q = (df.select("*", F.posexplode(buckets("v")).alias("table", "bucket")) for df in (t, q))
+    keys = ["table", "bucket"]
+    sizes = t.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    # a row for each bucket: at most tables x 2 ^ bits
+    t = t.join(F.broadcast(sizes), keys).withColumn("block", F.pmod(F.xxhash64("train_id"), "blocks")).drop("blocks")
+    q = q.join(F.broadcast(sizes), keys).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("blocks")
+    found = (
+        t.groupBy(*keys, "block")
+        .cogroup(q.groupBy(*keys, "block"))
+        .applyInPandas(_block_search(k), "query_id bigint, train_id bigint, label double, distance double")
     )
-    rest = _visit(t, routed, k, block_rows, slice_rows)
-    return top_per(first.unionByName(rest), ["query_id"], [F.col("distance"), F.col("train_id")], k)
+    # a pair may meet in several tables
+    once = found.groupBy("query_id", "train_id", "label").agg(F.min("distance").alias("distance"))
+    return top_per(once, ["query_id"], [F.col("distance"), F.col("train_id")], k)
 
 
 def vote(neighbours: DataFrame) -> DataFrame:

@@ -130,7 +130,7 @@ def fea06(spark, sf):
     v = FE.standardise("raw", "x", "population").fit(v).transform(v)
     model, shares = FE.components_for(v, "x", 0.90)
     reduced = model.transform(v).select(vector_to_array("reduced").alias("y"))
-    kept = model.getK()
+    kept = len(model.stages[-1].getIndices())
     spread = reduced.agg(*[F.var_samp(F.col("y")[i]).alias(f"c{i}") for i in range(kept)])
     cells = F.array(*[F.struct(F.lit(i).alias("component"), F.lit(float(shares[i])).alias("share"), F.col(f"c{i}").alias("variance")) for i in range(kept)])
     return spread.select(F.inline(cells))

@@ -253,18 +253,20 @@ def rated(spark, sf):
 
 
 def active_user(ratings):
-    """The user with fewest ratings, five at least: someone in need of advice."""
+    """The user with fewest ratings, five at least, and the two with most."""
     counts = ratings.groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
-    return counts.orderBy("n", "userid").limit(1).select("userid")
+    least = counts.orderBy("n", "userid").limit(1).select("userid")
+    return least.union(counts.orderBy(F.col("n").desc(), "userid").limit(2).select("userid")).distinct()
 
 
-ACTIVE = f"(SELECT userid FROM {D.RATINGS} GROUP BY 1 HAVING count(*) >= 5 ORDER BY count(*), 1 LIMIT 1)"
+COUNTED = f"(SELECT userid, count(*) AS n FROM {D.RATINGS} GROUP BY 1 HAVING count(*) >= 5)"
+ACTIVE = f"((SELECT userid FROM {COUNTED} ORDER BY n, 1 LIMIT 1) UNION (SELECT userid FROM {COUNTED} ORDER BY n DESC, 1 LIMIT 2))"
 REC_SQL = f"""WITH r AS (SELECT * FROM {D.RATINGS}), a AS (SELECT userid FROM {ACTIVE}),
   m AS (SELECT userid, avg(rating) AS m FROM r GROUP BY 1),
   s AS (SELECT x.userid AS active, y.userid AS neighbour, count(*) AS shared, CASE WHEN count(*) >= 2
     THEN round(coalesce(covar_pop(x.rating, y.rating) / nullif(stddev_pop(x.rating) * stddev_pop(y.rating), 0), 0), 9) ELSE 0 END AS sim
     FROM r x JOIN r y ON x.itemid = y.itemid AND x.userid <> y.userid WHERE x.userid IN (SELECT userid FROM a) GROUP BY 1, 2),
-  k AS (SELECT * FROM s ORDER BY sim DESC, neighbour LIMIT 10),
+  k AS (SELECT active, neighbour, shared, sim FROM (SELECT *, row_number() OVER (PARTITION BY active ORDER BY sim DESC, neighbour) AS i FROM s) WHERE i <= 10),
   p AS (SELECT k.active, r.itemid, max(ma.m) + coalesce(sum(k.sim * (r.rating - mv.m)) / nullif(sum(abs(k.sim)), 0), 0) AS predicted
     FROM k JOIN r ON r.userid = k.neighbour JOIN m mv ON mv.userid = k.neighbour JOIN m ma ON ma.userid = k.active GROUP BY 1, 2) """
 
@@ -283,7 +285,7 @@ def rec01b(spark, sf):
 @query(
     "rec02_favourites",
     f"""SELECT userid, title, round(rating, 6) AS rating FROM {D.RATINGS} JOIN {D.TITLES} USING (itemid)
-        WHERE userid = (SELECT userid FROM {ACTIVE}) ORDER BY rating DESC, title LIMIT 5""",
+        WHERE userid IN (SELECT userid FROM {ACTIVE}) QUALIFY row_number() OVER (PARTITION BY userid ORDER BY rating DESC, title) <= 5""",
 )
 def rec02(spark, sf):
     r = rated(spark, sf)
@@ -302,11 +304,11 @@ def rec03(spark, sf):
 
 @query(
     "joi07_co_rated_pairs",
-    f"""SELECT y.userid AS neighbour, count(*) AS shared FROM {D.RATINGS} x JOIN {D.RATINGS} y ON x.itemid = y.itemid AND x.userid <> y.userid
-        WHERE x.userid = (SELECT userid FROM {ACTIVE}) GROUP BY 1""",
+    f"""SELECT x.userid AS active, y.userid AS neighbour, count(*) AS shared FROM {D.RATINGS} x JOIN {D.RATINGS} y ON x.itemid = y.itemid AND x.userid <> y.userid
+        WHERE x.userid IN (SELECT userid FROM {ACTIVE}) GROUP BY 1, 2""",
 )
 def joi07(spark, sf):
-    return sims(rated(spark, sf)).select("neighbour", "shared")
+    return sims(rated(spark, sf)).select("active", "neighbour", "shared")
 
 
 @query("rec04_nearest_users", REC_SQL + "SELECT active, neighbour, shared, sim FROM k")
@@ -324,7 +326,8 @@ def rec05(spark, sf):
     "rec06_unseen_top",
     REC_SQL
     + f"""SELECT active, itemid, title, predicted FROM (SELECT active, itemid, round(predicted, 6) AS predicted FROM p
-          WHERE itemid NOT IN (SELECT itemid FROM r WHERE userid IN (SELECT userid FROM a)) ORDER BY round(predicted, 6) DESC, itemid LIMIT 5)
+          WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.userid = p.active AND r.itemid = p.itemid)
+          QUALIFY row_number() OVER (PARTITION BY active ORDER BY round(predicted, 6) DESC, itemid) <= 5)
           JOIN {D.TITLES} USING (itemid)""",
 )
 def rec06(spark, sf):
@@ -339,8 +342,7 @@ def rec07(spark, sf):
     r = rated(spark, sf)
     out = None
     for steps in (1, 10):
-        model = RC.factorise(r, 2, 0.02, steps)
-        scored = model.transform(r.withColumns({"userid": F.col("userid").cast("int"), "itemid": F.col("itemid").cast("int")}))
+        scored = RC.factorise(r, 2, 0.02, steps).score(r)
         row = scored.agg(F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))).alias("rmse")).withColumn("steps", F.lit(steps))
         out = row if out is None else out.unionByName(row)
     return out

@@ -86,19 +86,32 @@ def test_forecast_of_a_pure_trend_and_season(spark):
     np.testing.assert_allclose(ahead["yhat"], want, atol=0.15)
 
 
-@pytest.mark.parametrize("pivots,block,slice_", [(4, 20_000, 5_000), (9, 15, 7), (1, 11, 3)])
-def test_neighbours_against_brute_force(spark, pivots, block, slice_):
+@pytest.mark.parametrize("block,slice_", [(20_000, 5_000), (15, 7)])
+def test_neighbours_against_brute_force(spark, block, slice_):
     rng = np.random.default_rng(3)
     x, q = rng.normal(0, 1, (240, 3)), rng.normal(0, 1.5, (60, 3))
     x[:90] = 0.01 * x[:90]  # a hot corner
     train = spark.createDataFrame([(i, float(i % 3), v.tolist()) for i, v in enumerate(x)], "train_id bigint, label double, v array<double>")
     asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id bigint, v array<double>")
-    got = N.nearest(train, asked, 5, pivots, block, slice_).toPandas().sort_values(["query_id", "distance"])
+    got = N.nearest(train, asked, 5, block, slice_).toPandas().sort_values(["query_id", "distance"])
     d = np.sqrt(((q[:, None] - x[None]) ** 2).sum(2))
     assert len(got) == 300
     np.testing.assert_array_equal(got["train_id"].to_numpy().reshape(60, 5), np.argsort(d, axis=1, kind="stable")[:, :5])
 
 
+def test_hashed_neighbours(spark):
+    """Planted neighbours are found; the search among all rows has a bound."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 16))
+    q = x[:40] + rng.normal(0, 0.05, (40, 16))
+    train = spark.createDataFrame([(i, 0.0, v.tolist()) for i, v in enumerate(x)], "train_id bigint, label double, v array<double>")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id bigint, v array<double>")
+    got = {r["query_id"]: r["train_id"] for r in N.nearest_hashed(train, asked, 1, 16, block_rows=50).collect()}
+    assert sum(got.get(i) == i for i in range(40)) >= 36
+    with pytest.raises(ValueError, match="over the bound"):
+        N.nearest(train, asked, 1, most=100)
+
+
 def test_vote_ties(spark):
     n = spark.createDataFrame([(1, 1, 2.0, 0.5), (1, 2, 1.0, 0.7), (2, 3, 2.0, 0.5), (2, 4, 1.0, 0.5)], "query_id int, train_id int, label double, distance double")
     assert {r[0]: r[1] for r in N.vote(n).collect()} == {1: 2.0, 2: 1.0}
@@ -123,7 +136,7 @@ def test_components_and_scaling(spark):
     got = np.array([r[0] for r in scaled.select(vector_to_array("x")).collect()])
     np.testing.assert_allclose(got, (x - x.mean(0)) / x.std(0), atol=1e-9)
     model, shares = FE.components_for(scaled, "x", 0.90)
-    assert model.getK() == 2 and abs(sum(shares) - 1) < 1e-9
+    assert len(model.stages[-1].getIndices()) == 2 and abs(sum(shares) - 1) < 1e-9
 
 
 def test_stages_fit_on_train_keep_their_codes(spark):
@@ -152,13 +165,21 @@ def test_chained_fill_recovers_a_line(spark):
             np.testing.assert_allclose(out["y"], 2 * out["x"] + 1, atol=1e-6)
 
 
+def test_factors_of_large_ids(spark):
+    ids = 3_000_000_000
+    r = spark.createDataFrame([(ids + i, -ids * 3 + j, float(1 + (i * j) % 5)) for i in range(8) for j in range(9) if i or j < 7], "userid bigint, itemid bigint, rating double")
+    titles = r.select("itemid", F.lit("t").alias("title")).distinct()
+    top = RC.factor_unseen_top(RC.factorise(r, steps=3), r, spark.createDataFrame([(ids,), (ids + 1,), (5,)], "userid bigint"), titles, 3).collect()
+    assert {(t["active"], t["itemid"] + ids * 3) for t in top} == {(ids, 7), (ids, 8)}
+
+
 def test_factor_error_falls(spark):
     rng = np.random.default_rng(6)
     u, v = rng.random((30, 2)) + 0.5, rng.random((20, 2)) + 0.5
     r = spark.createDataFrame([(i, j, float(u[i] @ v[j])) for i in range(30) for j in range(20) if (i + j) % 4], "userid bigint, itemid bigint, rating double")
     errors = []
     for steps in (1, 12):
-        scored = RC.factorise(r, 2, 0.001, steps).transform(r.withColumns({c: F.col(c).cast("int") for c in ("userid", "itemid")}))
+        scored = RC.factorise(r, 2, 0.001, steps).score(r)
         errors.append(scored.agg(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))).first()[0])
     assert errors[1] < errors[0] and errors[1] < 0.01
     titles = spark.createDataFrame([(j, f"t{j}") for j in range(20)], "itemid bigint, title string")
