@@ -1,7 +1,7 @@
 """Compression-distance classification of toxic text.
 
-Two zstandard dictionaries are trained, one on windows that toxic documents have more often than
-others, one on windows typical of ordinary documents. A window is a word (cut at 32 characters). It is
+Two zstandard dictionaries are trained, one from word starts that toxic documents have more often than
+others, one from those typical of ordinary documents. A window is a word (cut at 32 characters). It is
 compressed with both; how many bytes the toxic dictionary saves over the ordinary one is its distance.
 Each pair of neighbouring characters goes in as three bytes, so that a word of four letters is long
 enough for a match to pay. Counts and shares of a document's windows beyond several thresholds go
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from tallyrill.llm.base import texts
 
 WINDOW = 32
-STEMS = range(4, 11)
+STEMS = range(3, 11)
 THRESHOLDS = (2, 4, 6, 8, 10, 12)
 TOP = max(THRESHOLDS) + 1
 MEMO = 200_000
+CARRIER = b"@what goes before each window@"  # in both dictionaries: a frame's first match is dear, the window's own comes after it
 
 
 @dataclass(frozen=True)
@@ -62,8 +63,8 @@ def windows(text: str) -> list[str]:
 
 
 def _compressor(dictionary: bytes):
-    how = zstandard.ZstdCompressionParameters(window_log=13, hash_log=10, chain_log=10, search_log=4, min_match=4, target_length=64, strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False, write_dict_id=False)
-    known = zstandard.ZstdCompressionDict(dictionary or bytes(8))
+    how = zstandard.ZstdCompressionParameters(window_log=13, hash_log=10, chain_log=10, search_log=4, min_match=7, target_length=64, strategy=zstandard.STRATEGY_DFAST, write_checksum=False, write_content_size=False, write_dict_id=False)
+    known = zstandard.ZstdCompressionDict(dictionary + CARRIER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     known.precompute_compress(compression_params=how)
     return zstandard.ZstdCompressor(compression_params=how, dict_data=known).compress
 
@@ -76,7 +77,7 @@ class _Distances(dict):
         self.toxic, self.ordinary = _compressor(model.toxic), _compressor(model.ordinary)
 
     def __missing__(self, window: str) -> int:
-        coded = _coded(window)
+        coded = CARRIER + _coded(window)
         saved = len(self.ordinary(coded)) - len(self.toxic(coded))
         self[window] = saved = min(max(saved, 0), TOP)
         return saved
@@ -114,21 +115,33 @@ def _surplus(own: Counter, other: Counter, n_own: int, n_other: int, least: int)
     return out
 
 
-def _best(word: str, surplus: dict[str, float]) -> float:
-    return max((surplus.get(word[:n], 0.0) for n in STEMS if n <= len(word)), default=0.0)
+def _starts(surplus: dict[str, float], counts: Counter, least: float, size: int) -> bytes:
+    """A dictionary of the word starts that stand out by ``least``, what stands out most at its end.
 
-
-def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """Trained by zstandard; where the samples are too few for that, the samples themselves."""
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
-        return b"".join(dict.fromkeys(samples))[-size:]
-
-
-def fit(rows: list[tuple[str, int]], dictionary: int = 4096) -> Model:
-    """A model from (text, toxic) rows. With one class only it gives that class's rate."""
-    rows = [(t or "", int(bool(y))) for t, y in rows]
+    A start that goes on from one taken, or is hardly more frequent than one that goes on from it, is left
+    out, as they would match the same windows.
+    """
+    taken: list[str] = []
+    known: set[str] = set()
+    heads: set[str] = set()
+    for stem in sorted((t for t, x in surplus.items() if x >= least), key=lambda t: (-surplus[t], -len(t), t)):
+        if any(stem[:n] in known for n in STEMS) or (stem in heads and any(t.startswith(stem) and counts[stem] < 1.2 * counts[t] for t in taken)):
+            continue
+        if len(taken) * 3 >= size:
+            break
+        taken.append(stem)
+        known.add(stem)
+        heads |= {stem[:n] for n in STEMS}
+    content = b"".join(_coded(t)[:-3] for t in reversed(taken))
+    return content[-size:]
+
+
+def fit(rows: list[tuple[str, int]], dictionary: int = 4096, odds: float | None = None) -> Model:
+    """A model from (text, toxic) rows. With one class only it gives that class's rate.
+
+    Equal texts count once. ``odds`` are those of a toxic document, where the rows don't show them.
+    """
+    rows = sorted({t or "": int(bool(y)) for t, y in rows}.items())
     n_toxic = sum(y for _, y in rows)
     n_other = len(rows) - n_toxic
     base = (n_toxic + 0.5) / (len(rows) + 1)
@@ -140,12 +153,10 @@ def fit(rows: list[tuple[str, int]], dictionary: int = 4096) -> Model:
         counts[y].update({w[:n] for w in own for n in STEMS if n <= len(w)})
     toxic = _surplus(counts[1], counts[0], n_toxic, n_other, 3)
     other = _surplus(counts[0], counts[1], n_other, n_toxic, 5)
-    samples: tuple[list[bytes], list[bytes]] = [], []
-    for own, (_, y) in zip(words, rows, strict=True):
-        samples[y].extend(_coded(w) for w in sorted(own) if _best(w, toxic if y else other) >= (6 if y else 3))
-    step = max(1, len(samples[0]) // max(1, 4 * len(samples[1])))
-    trained = [_dictionary(s, dictionary) for s in (samples[1], samples[0][::step])]
-    if len(trained[0]) < 8:  # no window stands out
+    # what only a few copies of one document share stands out as well, by as little as they are few
+    least = max(6.0, 0.5 * math.sqrt(n_toxic))
+    trained = [_starts(toxic, counts[1], least, dictionary), _starts(other, counts[0], 3, dictionary)]
+    if not trained[0]:  # no window stands out
         return Model(base=base)
     model = Model(trained[0], trained[1])
     distances = _Distances(model)
@@ -157,6 +168,8 @@ def fit(rows: list[tuple[str, int]], dictionary: int = 4096) -> Model:
     for _ in range(25):  # Newton steps of a logistic model with a unit ridge
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.eye(len(w)), z.T @ (y - p) - w)
+    if odds:
+        w[-1] += math.log(odds * n_other / n_toxic)
     return Model(trained[0], trained[1], tuple(mean), tuple(sd), tuple(w), base)
 
 
@@ -189,9 +202,11 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = 3000, chars: int = 20_
     order = [F.xxhash64("id"), "id"]
     picked = known.where("y = 1").orderBy(*order).limit(rows).union(known.where("y = 0").orderBy(*order).limit(rows))
     own = texts(docs)
+    counts = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    odds = counts[1] / counts[0] if counts.get(0) and counts.get(1) else None
     # at most twice ``rows`` ids
     got = own.join(F.broadcast(picked), own.doc_id == F.col("id")).select("id", F.substring("text", 1, chars).alias("text"), "y").dropDuplicates(["id"])
-    return fit([(r.text, r.y) for r in sorted(got.collect(), key=lambda r: r.id)])
+    return fit([(r.text, r.y) for r in sorted(got.collect(), key=lambda r: r.id)], odds=odds)
 
 
 def held_out(id_col: str = "doc_id"):
