@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrill.llm.base import staged
+from tallyrill.operators.relational import join_back
 
 GRAM = 16
 MEMO = 500_000
@@ -181,8 +182,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     kept = staged(positions(own, min_words), "positions")
-    again = kept.groupBy("key").count().where("count > 1").select("key")
-    held = kept.join(again, "key").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    again = kept.groupBy("key").count().where("count > 1")
+    # a passage of very many copies is salted
+    held = join_back(kept, again, ["key"], "count").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("at")).alias("ats"))
     by = held.select(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "ats")
     texts = own.join(by, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k"))).select("doc_id", "text_key", "text", "ats")
     order = ["key", "right", "left", "doc_id", "text_key", "at"]
