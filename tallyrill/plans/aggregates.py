@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyrill.functions import scalars as S
 from tallyrill.operators import profile as P
 from tallyrill.operators.ordered import exact_quantiles
-from tallyrill.operators.relational import collapse_rare, natural_left_join
+from tallyrill.operators.relational import collapse_rare, columns_by_type, natural_left_join
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query, table
 
@@ -34,14 +34,15 @@ def agg03(spark, sf):
 @query(
     "agg04_all_numeric_means",
     f"""SELECT CAST(month(day) AS INTEGER) AS month, round(avg(open), 4) AS open, round(avg(high), 4) AS high, round(avg(low), 4) AS low,
-        round(avg(close), 4) AS close, round(avg(volume), 4) AS volume, max(high) AS max_high FROM {D.BARS} GROUP BY 1""",
+        round(avg(close), 4) AS close, round(avg(volume), 4) AS volume, max(open) AS max_open, max(high) AS max_high, max(low) AS max_low,
+        max(close) AS max_close, max(volume) AS max_volume FROM {D.BARS} GROUP BY 1""",
 )
 def agg04(spark, sf):
-    b = D.bars(spark, sf).withColumn("month", F.month("day"))
-    numeric = ["open", "high", "low", "close", "volume"]
-    return b.groupBy("month").agg(
-        *[F.round(F.avg(c), 4).alias(c) for c in numeric], F.max("high").alias("max_high")
-    )
+    """Mean and greatest value of every numeric column, as the schema names them."""
+    b = D.bars(spark, sf)
+    numeric = columns_by_type(b, "numeric")
+    means = [F.round(F.avg(c), 4).alias(c) for c in numeric]
+    return b.groupBy(F.month("day").alias("month")).agg(*means, *[F.max(c).alias(f"max_{c}") for c in numeric])
 
 
 @query("agg05_dictionary", f"SELECT company, max(sales) AS max_sales, min(person) AS min_person FROM {D.SALES} GROUP BY 1")

@@ -236,6 +236,21 @@ def ml03(spark, sf):
     return fit_and_compare(prepared(spark, sf), LogisticRegression(maxIter=20))
 
 
+@query(
+    "ml03_check_score_equations",
+    f"""SELECT CAST(slot AS INTEGER) AS slot, (SELECT count(*) FROM {TRAIN_SQL} WHERE train) AS n, true AS balanced FROM
+        (SELECT unnest(range((SELECT 4 + count(DISTINCT v24) + count(DISTINCT v47) +
+          max(CASE WHEN v24 IS NULL THEN 1 ELSE 0 END) + max(CASE WHEN v47 IS NULL THEN 1 ELSE 0 END) FROM {D.CLAIMS}))) AS slot)""",
+)
+def ml03b(spark, sf):
+    """At the optimum of the plain model the errors sum to nothing over each feature."""
+    train = prepared(spark, sf).filter("split = 'train'")
+    fitted = LogisticRegression(maxIter=500, tol=1e-12).fit(train).transform(train)
+    gap = vector_to_array("probability")[1] - F.col("label")
+    each = fitted.select(F.posexplode(F.transform(vector_to_array("features"), lambda x: x * gap)).alias("slot", "g"))
+    return each.groupBy("slot").agg(F.count(F.lit(1)).alias("n"), (F.abs(F.avg("g")) < 1e-4).alias("balanced"))
+
+
 @query("ml04_binomial_coefficients")
 def ml04(spark, sf):
     """Coefficient table: estimate, standard error, t value and p value."""
@@ -262,6 +277,15 @@ def ml05(spark, sf):
     return spark.createDataFrame(imp, "feature int, importance double")
 
 
+@query(
+    "ml05_check_importances",
+    "SELECT count(*) AS n, 1.0::DOUBLE AS total, true AS none_negative FROM (SELECT unnest(embedding) FROM (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1))",
+)
+def ml05b(spark, sf):
+    """One importance per feature, none below zero, one in sum."""
+    return ml05(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("importance"), 6).alias("total"), F.every(F.col("importance") >= 0).alias("none_negative"))
+
+
 @query("ml06_permutation_importance")
 def ml06(spark, sf):
     p = D.passengers(spark, sf).filter(F.col("survived").isNotNull())
@@ -336,6 +360,26 @@ def ml12(spark, sf):
     return out
 
 
+@query(
+    "ml12_check_centres",
+    "SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n, true AS centres_are_means FROM (SELECT unnest([2, 3]) AS k)",
+)
+def ml12b(spark, sf):
+    """Every vector is in one cluster, and the centres are the means of their members."""
+    v = vectors(spark, sf)
+    x = stage(FE.standardise("raw", "features").fit(v).transform(v).select("vec_id", "features"), "scaled")
+    out = None
+    for k in (2, 3):
+        model = KMeans(k=k, seed=1, maxIter=500, tol=0.0).fit(x)
+        slots = model.transform(x).select("prediction", F.posexplode(vector_to_array("features")).alias("slot", "v"))
+        centres = spark.createDataFrame([(c, i, float(v)) for c, at in enumerate(model.clusterCenters()) for i, v in enumerate(at)], "prediction int, slot int, centre double")
+        means = slots.groupBy("prediction", "slot").agg(F.avg("v").alias("mean"), F.count(F.lit(1)).alias("n")).join(centres, ["prediction", "slot"])
+        part = means.agg(F.sum(F.when(F.col("slot") == 0, F.col("n"))).alias("n"), F.every(F.abs(F.col("mean") - F.col("centre")) < 1e-6).alias("centres_are_means"))
+        part = part.select(F.lit(k).alias("k"), "n", "centres_are_means")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("ml14_grid_cross_validation")
 def ml14(spark, sf):
     rows = M.with_folds(prepared(spark, sf).filter("split = 'train'"), "id", 3)
@@ -433,3 +477,17 @@ def str01(spark, sf):
     stream = ST.arriving_texts(spark, inbox, "doc_id bigint, text string")
     ST.score_stream(stream, model, out, marks).awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("str01_check_equals_batch", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM documents")
+def str01b(spark, sf):
+    """Every document is scored once in the stream, with the label that the same model gives it in a batch."""
+    rows = text_rows(spark, sf).withColumn("label", F.when(F.col("class") == "pos", 1.0).otherwise(0.0))
+    model = Pipeline(stages=[*FE.text_only_stages(), NaiveBayes()]).fit(rows.filter("split = 'train'"))
+    inbox, out, marks = fresh(spark, "inbox"), fresh(spark, "scored"), fresh(spark, "marks")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs.write.json(inbox)
+    ST.score_stream(ST.arriving_texts(spark, inbox, "doc_id bigint, text string"), model, out, marks).awaitTermination()
+    batch = ST.scored(docs, model).select("doc_id", F.col("prediction").alias("b"))
+    both = spark.read.parquet(out).join(batch, "doc_id", "full")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("prediction").eqNullSafe(F.col("b"))).alias("different"))

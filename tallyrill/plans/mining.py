@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tallyrill.functions import scalars as S
@@ -58,11 +60,24 @@ def sca08(spark, sf):
 
 @query(
     "sca10_norm_and_dot",
-    """SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 5) AS norm FROM embeddings""",
+    """SELECT e.vec_id, round(sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 5) AS norm,
+       round(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(n.embedding AS DOUBLE[])), 5) AS with_next
+       FROM embeddings e LEFT JOIN embeddings n ON n.vec_id = e.vec_id + 1""",
 )
 def sca10(spark, sf):
-    wide = F.transform("embedding", lambda x: x.cast("double"))
-    return table(spark, sf, "embeddings").select("vec_id", F.round(S.norm(wide), 5).alias("norm"))
+    """Length of each vector, and its dot product with the vector of the next id."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("w"))
+    return e.join(after, "vec_id", "left").select("vec_id", F.round(S.norm("v"), 5).alias("norm"), F.round(S.dot("v", "w"), 5).alias("with_next"))
+
+
+@query("sca06_run_stamp", "SELECT r_regionkey, true AS parses, true AS in_run FROM region")
+def sca06(spark, sf):
+    """The time of the run as text: it can be read back, and lies between the start of the query and now."""
+    start = datetime.datetime.now(datetime.UTC).replace(tzinfo=None) - datetime.timedelta(seconds=1)
+    stamp = F.date_format(F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()), "yyyy-MM-dd-HH-mm-ss")
+    back = F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd-HH-mm-ss")).cast("timestamp_ntz")
+    return table(spark, sf, "region").select("r_regionkey", back.isNotNull().alias("parses"), (back >= F.lit(start.replace(microsecond=0))).alias("in_run"))
 
 
 @query(
@@ -348,6 +363,20 @@ def rec07(spark, sf):
     return out
 
 
+@query("rec07_check_equations", f"SELECT count(DISTINCT userid) AS users, true AS solved FROM {D.RATINGS}")
+def rec07b(spark, sf):
+    """Each user's factors solve the normal equations of the ratings, given those of the items."""
+    r = rated(spark, sf)
+    m = RC.factorise(r, 2, 0.02, 10)
+    u = m.model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("u"))
+    v = m.model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("v"))
+    each = m.coded(r).join(v, "item").select("user", F.col("rating").cast("float").cast("double").alias("r"), *[F.col("v")[i].cast("double").alias(f"v{i}") for i in range(2)])
+    sums = each.groupBy("user").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"s{i}{j}") for i in range(2) for j in range(2)], *[F.sum(F.col(f"v{i}") * F.col("r")).alias(f"t{i}") for i in range(2)])
+    both = sums.join(u, "user")
+    gaps = [F.abs(F.col(f"s{i}0") * F.col("u")[0] + F.col(f"s{i}1") * F.col("u")[1] + 0.02 * F.col("n") * F.col("u")[i] - F.col(f"t{i}")) / F.col("n") for i in range(2)]
+    return both.agg(F.count(F.lit(1)).alias("users"), F.every((gaps[0] < 1e-3) & (gaps[1] < 1e-3)).alias("solved"))
+
+
 @query("rec08_factor_top")
 def rec08(spark, sf):
     r = rated(spark, sf)
