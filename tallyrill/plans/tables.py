@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +10,12 @@ from tallyrill.operators import relational as R
 from tallyrill.operators.ordered import with_position
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query, table
-from tallyrill.session import staging_root
+from tallyrill.session import owned_path
 from tallyrill.sources import readers, writers
 
 
 def fresh(spark, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return owned_path(spark, name)
 
 
 # --- sources ------------------------------------------------------------------------------

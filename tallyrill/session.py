@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_OWNED: dict[str, list[str]] = {}
+_LOCAL: dict[str, str] = {}
 
 
 def local_session(cores: str = "8", name: str = "tallyrill", **conf: str) -> SparkSession:
@@ -40,9 +42,17 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tallyrill-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    # the setting can't be changed in a running session
+    if spark.sparkContext.applicationId not in _LOCAL:
+        _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tallyrill-")
+    return _LOCAL[spark.sparkContext.applicationId]
+
+
+def owned_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, which ``release`` will remove."""
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _OWNED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -52,6 +62,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     file scan, and every branch that reads it sees the same rows in the same slices.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = owned_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove what this application has staged; results that still read it must have been used."""
+    paths = _OWNED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)

@@ -6,13 +6,14 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallyrill.session import local_session  # noqa: E402
+from tallyrill.session import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", "tests")
     yield session
+    release(session)
     session.stop()
 
 
