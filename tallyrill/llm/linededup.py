@@ -47,18 +47,18 @@ def _probes(edits: int) -> list[tuple[int, str]]:
     return out
 
 
-LETTERS = "etnaoris"
+LETTERS = "etnaorishdlucmpg"
 
 
 def _letters() -> str:
-    """SQL text: how often ``line`` of ``n`` characters has each of eight frequent letters, modulo 256, a byte each."""
-    return " | ".join(f"shiftleft(CAST((n - char_length(replace(line, '{c}', ''))) & 255 AS BIGINT), {8 * i})" for i, c in enumerate(LETTERS))
+    """SQL text: how often ``line`` of ``n`` characters has each of sixteen frequent letters, modulo 16, four bits each."""
+    return " | ".join(f"shiftleft(CAST((n - char_length(replace(line, '{c}', ''))) & 15 AS BIGINT), {4 * i})" for i, c in enumerate(LETTERS))
 
 
 def _unlike(a: str, b: str) -> str:
-    """SQL text: sum of differences of letter counts; an edit changes it by 2 at most."""
-    lanes = [f"abs((shiftright({a}, {8 * i}) & 255) - (shiftright({b}, {8 * i}) & 255))" for i in range(len(LETTERS))]
-    return " + ".join(f"least({x}, 256 - {x})" for x in lanes)
+    """SQL text: at least so many letters differ; an edit changes two at most."""
+    lanes = [f"abs((shiftright({a}, {4 * i}) & 15) - (shiftright({b}, {4 * i}) & 15))" for i in range(len(LETTERS))]
+    return " + ".join(f"least({x}, 16 - {x})" for x in lanes)
 
 
 def _common(a: str, b: str, side: str) -> str:
