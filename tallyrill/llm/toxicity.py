@@ -192,7 +192,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = 3000, chars: int = 20_000) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, rows: int = 2000, chars: int = 20_000) -> Model:
     """Fit on at most ``rows`` labelled documents of each class, the first ``chars`` characters of each.
 
     ``labels`` has ``doc_id`` and ``toxic``; rows with a null are left out, a document that is labelled
