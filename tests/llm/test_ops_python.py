@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tallyrill.llm import base, binary, components, mixture, ownership, simhash, suffixes, tokenise, toxicity
+from tallyrill.llm import base, binary, components, mixture, neardup, ownership, simhash, suffixes, tokenise, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, ids string"
 WORDS = "the of and to in is that for it was on are with as be at by this from or an have not".split()
@@ -302,3 +302,33 @@ def test_borders_of_tasks_lose_no_match(spark, shuffles):
     texts = [f"{prose(rng, 5)} {passage} {prose(rng, 5)}" for _ in range(200)]
     got = suffixes.repeats(docs(spark, texts)).collect()
     assert len(got) == 200 and all(r.stop - r.start >= 60 and r.other_doc_id != r.doc_id for r in got)
+
+
+def test_near_copies_by_jaccard(spark):
+    """Groups of all pairs at 0.8 and over, which 3 bits of 3-word fingerprints mostly miss."""
+    rng = random.Random(61)
+    texts = odd(rng)
+    for _ in range(30):
+        words = prose(rng, rng.randint(60, 400)).split()
+        texts.append(" ".join(words))
+        for changes in (1, 2, 4):
+            # chains too: each copy is changed further
+            for _ in range(changes * len(words) // 150 + 1):
+                words[rng.randrange(len(words))] = f"new{rng.random()}"
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+
+    def plain(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    sets = [plain(t) for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = sorted(set(grouped(pairs, range(len(sets))).values()))
+    bits = [plain_simhash(t) for t in texts]
+    assert sum((bits[a] ^ bits[b]).bit_count() > 3 for a, b in pairs) > len(pairs) / 2
+    table = docs(spark, texts)
+    kept = neardup.one_of_each(table)
+    assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == want
+    assert sorted(r.doc_id for r in neardup.one_of_each(table.union(table)).collect()) == want
+    assert neardup.one_of_each(table.limit(0)).collect() == []
