@@ -1,8 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
 A seed is the hash of the words at a mask's set positions; the others may differ. Seeds of all documents
-are joined with those of the benchmark. Around each hit, document and item are laid side by side and the
-best run of words is taken, where a match counts 1 and a substitution costs a penalty.
+are joined with those of the benchmark. Around each hit, document and item are laid side by side and every run
+that meets the rule and lies in no longer one is taken.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyrill.llm.base import staged, texts
 
-MASKS = ("11110011001", "11001011011")  # 7 of 11 words; together they meet any 13 words with one changed, 16 with two
+MASKS = ("111101", "110010011")  # five words; together they meet every overlap with an item of WHOLE words or more
+WHOLE = 11  # items of fewer words have to occur whole
 SHARE = 0.8  # of a run's words match
-PENALTIES = (1, 4)  # a substitution's cost: the widest run, and the dense one if that falls under the share
 BROADCAST_ROWS = 1_000_000  # benchmark seeds of 32 bytes, or item words of 8
 
 
@@ -36,14 +36,18 @@ def _seeds(masks: list[str]) -> str:
     return f"flatten(transform(array(words), w -> concat({', '.join(parts)})))"
 
 
-def _best_run(penalty: int) -> str:
-    """SQL text: first, end and matches of the run with the best score in ``run`` against ``item`` from ``a`` on."""
-    return f"""aggregate(sequence(0, size(run) - 1), named_struct('s', 0, 'f', 0, 'm', 0, 'bs', 0, 'bf', 0, 'be', 0, 'bm', 0), (x, i) ->
-        get(transform(array(IF(get(run, i) = get(item, a + i),
-            named_struct('s', x.s + 1, 'f', IF(x.s = 0, i, x.f), 'm', IF(x.s = 0, 1, x.m + 1)),
-            named_struct('s', greatest(0, x.s - {penalty}), 'f', x.f, 'm', x.m))), y ->
-          IF(y.s > x.bs, named_struct('s', y.s, 'f', y.f, 'm', y.m, 'bs', y.s, 'bf', y.f, 'be', i + 1, 'bm', y.m),
-            named_struct('s', y.s, 'f', y.f, 'm', y.m, 'bs', x.bs, 'bf', x.bf, 'be', x.be, 'bm', x.bm))), 0))"""
+def _runs(least: str) -> str:
+    """SQL text: first and last index into ``q``, the places that match, of every maximal run.
+
+    A run has ``least`` places at least, and four in five of its words are among them: ``5 * y - 4 * q[y]``
+    falls by one at most from its first to its last.
+    """
+    height = "(5 * {0} - 4 * get(q, {0}))".format
+    last = f"array_max(filter(sequence(low, size(q) - 1), y -> {height('y')} >= {height('x')} - 1))"
+    further = f"get(transform(array(greatest(r.best + 1, x + {least} - 1)), low -> IF(low < size(q), coalesce({last}, -1), -1)), 0)"
+    none = "cast(array() as array<struct<x:int,y:int>>)"
+    return f"""IF(size(q) < {least}, {none}, aggregate(sequence(0, size(q) - {least}), named_struct('best', -1, 'runs', {none}), (r, x) ->
+        get(transform(array({further}), y -> IF(y > r.best, named_struct('best', y, 'runs', concat(r.runs, array(named_struct('x', x, 'y', y)))), r)), 0), r -> r.runs))"""
 
 
 def contamination(
@@ -52,14 +56,13 @@ def contamination(
     """One row per verified overlap: ``doc_id``, ``item_id``, ``doc_start``, ``item_start``, ``n_words``, ``matched``.
 
     An overlap is a run without insertions, of at least ``min_words`` matching words (four in five of the
-    item's, if that is fewer), of which at most one in five is substituted. Items with fewer words than a mask have to occur
-    whole. Null and empty texts overlap nothing; repeated rows give equal overlaps once; items of one id
+    item's, if that is fewer), of which at most one in five is substituted. Runs may overlap, but none lies
+    in another one. Items of fewer than ``WHOLE`` words have to occur whole. Null and empty texts overlap nothing; repeated rows give equal overlaps once; items of one id
     and different texts are told apart by their text.
     """
     items = texts(benchmark, item_col, item_text_col).select(F.col("doc_id").alias("item_id"), hashed("text").alias("words")).where("size(words) > 0").distinct()
     items = staged(items.select("item_id", "words", F.xxhash64("words").alias("key"), F.size("words").alias("n")), "items")
-    span = max(map(len, MASKS))
-    short = sorted(r.n for r in items.where(F.col("n") < span).select("n").distinct().collect())  # lengths under a mask's
+    short = sorted(r.n for r in items.where(F.col("n") < WHOLE).select("n").distinct().collect())
     masks = [*MASKS, *("1" * n for n in short)]
     whole = F.expr(_seeds(masks))
     seeds = items.select("item_id", "key", "n", F.explode(whole).alias("s"))
@@ -84,15 +87,11 @@ def contamination(
     by_key = items.select("key", F.col("item_id").alias("i"), F.col("words").alias("item"), "n")
     n_words = items.agg(F.sum("n")).first()[0] or 0
     met = runs.join(F.broadcast(by_key) if n_words <= BROADCAST_ROWS else by_key, (runs.key == by_key.key) & runs.item_id.eqNullSafe(by_key.i))
-    scored = met.where("size(run) > 0").select("doc_id", "item_id", "shift", "a", "n", *[F.expr(_best_run(p)).alias(f"b{p}") for p in PENALTIES])
-
-    def enough(b: str) -> str:
-        least = f"least({min_words}, CAST(ceil(n * {SHARE}) AS INT))"
-        return f"({b}.bm >= {least} AND {b}.bm >= {SHARE} * ({b}.be - {b}.bf) AND (n >= {span} OR {b}.bm = n))"
-
-    wide, dense = (f"b{p}" for p in PENALTIES)
-    good = scored.where(F.expr(f"{enough(wide)} OR {enough(dense)}")).withColumn("b", F.expr(f"IF({enough(wide)}, {wide}, {dense})"))
-    return good.select("doc_id", "item_id", F.expr("shift + a + b.bf").alias("doc_start"), F.expr("a + b.bf").alias("item_start"), F.expr("b.be - b.bf").alias("n_words"), F.expr("b.bm").alias("matched")).distinct()
+    least = f"IF(n < {WHOLE}, n, least({min_words}, CAST(ceil(n * {SHARE}) AS INT)))"
+    same = met.withColumn("q", F.expr("filter(transform(run, (w, i) -> IF(w = get(item, a + i), i, NULL)), i -> i IS NOT NULL)")).withColumn("least", F.expr(least))
+    found = same.where("size(q) >= least").select("doc_id", "item_id", "shift", "a", "q", F.explode(F.expr(_runs("least"))).alias("r"))
+    first, matched = "a + get(q, r.x)", "r.y - r.x + 1"
+    return found.select("doc_id", "item_id", F.expr(f"shift + {first}").alias("doc_start"), F.expr(first).alias("item_start"), F.expr("get(q, r.y) - get(q, r.x) + 1").alias("n_words"), F.expr(matched).alias("matched")).distinct()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators in DataFrame functions only, against plain versions on small tables."""
 
+import itertools
 import random
 import textwrap
 
@@ -174,6 +175,31 @@ def test_decontamination_beyond_broadcast(spark, monkeypatch):
     assert [r.doc_id for r in want] == [1] and decontaminate.contamination(table, marks).collect() == want
 
 
+def test_decontamination_meets_every_plant(spark):
+    """Substitutions at all places the rule allows, and a valid run beside a denser short one."""
+    rng = random.Random(43)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [words(n) for n in (11, 12, 15, 16, 20, 28)]
+    texts, planted = [], set()
+
+    def plant(item, gone):
+        own = [f"x{k}" if k in gone else w for k, w in enumerate(items[item])]
+        planted.add((len(texts), item))
+        texts.append(" ".join(words(rng.randint(0, 9)) + own + words(rng.randint(0, 9))))
+
+    for item, most in ((0, 2), (1, 2), (2, 3), (3, 3)):
+        for gone in itertools.combinations(range(len(items[item])), most):
+            plant(item, gone)
+    for _ in range(300):
+        plant(4, rng.sample(range(20), 4))
+    # eight words, three substituted, then 13 of 16
+    plant(5, {8, 9, 10, 11, 15, 19, 23})
+    marks = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = decontaminate.contamination(docs(spark, texts), marks).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == planted
+    assert all(5 * r.matched >= 4 * r.n_words and r.matched >= min(13, -(-4 * len(items[r.item_id]) // 5)) for r in got)
+
+
 def test_licences(spark):
     s = licences.SENTENCES
     mit = " ".join(s[k] for k in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability"))
