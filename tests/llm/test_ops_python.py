@@ -332,3 +332,14 @@ def test_near_copies_by_jaccard(spark):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == want
     assert sorted(r.doc_id for r in neardup.one_of_each(table.union(table)).collect()) == want
     assert neardup.one_of_each(table.limit(0)).collect() == []
+
+
+def test_near_copies_of_odd_rows(spark):
+    """Documents are told by id and text: repeated ids, null ids, repeated rows."""
+    rng = random.Random(62)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    table = docs(spark, [a, b, b, a, c, c]).drop("doc_id")
+    ids = [5, 5, 7, None, None, None]
+    rows = [(i, *r) for i, r in zip(ids, table.collect(), strict=True)]
+    kept = neardup.one_of_each(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(5, a), (5, b), (0, c)])
