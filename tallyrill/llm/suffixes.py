@@ -2,7 +2,8 @@
 
 Only suffixes at content-selected positions are kept: the minimisers of windows of word n-grams, so placed
 that any ``min_words`` words in a row hold one, at the same place in every copy. Suffixes whose first
-n-gram occurs again are sorted; neighbours are compared and their match extended right and left.
+n-gram occurs again are sorted; neighbours are compared and their match extended right and left. Runs of
+``min_words`` words around them also meet by their hash, as other copies may lie between two in the sort.
 """
 
 from __future__ import annotations
@@ -103,6 +104,36 @@ def _suffixes(min_words: int):
     return run
 
 
+def _windows(min_words: int):
+    """Every run of ``min_words`` words that holds a kept gram: its hash and where it starts."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reach = np.arange(min_words - GRAM + 1)
+        for batch in batches:
+            for part in range(0, batch.num_rows, 64):
+                some = batch.slice(part, 64)
+                hashed = [grams(word_hashes(t), min_words) for t in some.column(2).to_pylist()]
+                starts = [np.unique(np.array(ats)[:, None] - reach) for ats in some.column(3).to_pylist()]
+                starts = [s[(s >= 0) & (s < len(h))] for s, h in zip(starts, hashed, strict=True)]
+                take = pa.array(np.repeat(np.arange(some.num_rows), [len(s) for s in starts]))
+                found = np.concatenate([h[s] for s, h in zip(starts, hashed, strict=True)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), some.column(0).take(take), some.column(1).take(take), pa.array(np.concatenate(starts).astype(np.int32))], ["window", "doc_id", "text_key", "start"])
+
+    return run
+
+
+def _again(windows: DataFrame, min_words: int) -> DataFrame:
+    """The windows that occur at another place too, as spans with another document's id if there is one.
+
+    Counted up before they are joined back, and hot ones are salted.
+    """
+    place = F.struct("doc_id", "text_key", "start")
+    met = windows.groupBy("window").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("rows")).where("NOT lo <=> hi")
+    back = join_back(windows, met.select("window", F.col("lo.doc_id").alias("lo"), F.col("hi.doc_id").alias("hi"), "rows"), ["window"], "rows")
+    other = F.when(~F.col("lo").eqNullSafe(F.col("doc_id")) & F.col("lo").isNotNull(), F.col("lo")).when(~F.col("hi").eqNullSafe(F.col("doc_id")), F.col("hi"))
+    return back.select("doc_id", "text_key", "start", (F.col("start") + min_words).alias("stop"), other.alias("other"))
+
+
 def _shared(a: bytes, b: bytes) -> int:
     """Words that two runs of 32-bit words share at their start."""
     n = min(len(a), len(b)) // 4
@@ -194,7 +225,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     found = staged(ranged.mapInArrow(_neighbours(min_words), MATCH), "matches")
     # two rows of each task
     edges = found.where("edge > 0").coalesce(1).sortWithinPartitions("part", "edge").mapInArrow(_borders(min_words), MATCH)
-    spans = found.where("edge = 0").unionByName(edges).groupBy("doc_id", "text_key", "start", "stop").agg(F.min(F.when(~F.col("other").eqNullSafe(F.col("doc_id")), F.col("other"))).alias("other"))
+    # neighbours may be copies of another passage, so each window is also met by its hash
+    windows = staged(texts.mapInArrow(_windows(min_words), "window long, doc_id long, text_key long, start int"), "windows")
+    matched = found.where("edge = 0").unionByName(edges).select("doc_id", "text_key", "start", "stop", "other").unionByName(_again(windows, min_words))
+    spans = matched.groupBy("doc_id", "text_key", "start", "stop").agg(F.min(F.when(~F.col("other").eqNullSafe(F.col("doc_id")), F.col("other"))).alias("other"))
     per_doc = spans.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "other"))).alias("spans"))
     merged = F.expr(
         """aggregate(slice(spans, 2, size(spans)), array(get(spans, 0)), (a, s) -> IF(s.start <= element_at(a, -1).stop,

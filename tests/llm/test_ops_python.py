@@ -343,3 +343,18 @@ def test_near_copies_of_odd_rows(spark):
     rows = [(i, *r) for i, r in zip(ids, table.collect(), strict=True)]
     kept = neardup.one_of_each(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(5, a), (5, b), (0, c)])
+
+
+def test_repeats_around_a_stock_phrase(spark):
+    """Two of many documents that hold a phrase also share the words before it."""
+    rng = random.Random(63)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    texts, pairs = [], set()
+    for phrase, before in ((40, 20), (30, 25), (25, 30)) * 4:
+        stock, shared = fresh(phrase), fresh(before)
+        pairs |= {len(texts), len(texts) + 1}
+        texts += [f"{fresh(30)} {shared if i < 2 else fresh(before)} {stock} {fresh(30)}" for i in range(60)]
+    got = suffixes.repeats(docs(spark, texts)).collect()
+    assert {r.doc_id for r in got} == pairs
+    want = plain_repeats([t.split() for t in texts], 50)
+    assert all(set(range(r.start, r.stop)) == want[r.doc_id] for r in got)
