@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.llm import binary, decontaminate, licences, linededup, mixture, oph, ownership, simhash, suffixes, toxicity
+from tallyrill.llm import binary, decontaminate, licences, linededup, mixture, oph, ownership, parityjoin, simhash, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -79,3 +79,8 @@ def op10_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     found = ownership.scan(_table(spark, folder, "documents"))
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in ownership.KINDS]
     return found.select("doc_id", *counts, F.sha2(ownership.joined("base").cast("binary"), 256).alias("base_sha256"), ownership.joined("spans").alias("spans"), "live", "copied")
+
+
+@_query
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return parityjoin.linked(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
