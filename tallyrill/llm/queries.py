@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.llm import binary, decontaminate, licences, linededup, mixture, oph, ownership, parityjoin, simhash, suffixes, toxicity
+from tallyrill.llm import binary, decontaminate, hardnegatives, licences, linededup, mixture, oph, ownership, parityjoin, simhash, suffixes, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -81,6 +81,20 @@ def op10_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(ownership.joined("base").cast("binary"), 256).alias("base_sha256"), ownership.joined("spans").alias("spans"), "live", "copied")
 
 
+@_query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hardnegatives.mined(moved, F.col("vec_id") % 50 == 0)
+
+
 @_query
 def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return parityjoin.linked(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@_query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    made = whitening.whitened(_table(spark, folder, "embeddings"))
+    # exact in 38 digits; what a long can't hold is null
+    return made.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
