@@ -1,14 +1,13 @@
-"""k nearest neighbours: exactly, by blocks of all rows, or among rows that share a hashed bucket."""
+"""k nearest neighbours: exactly, by pivot cells, or among rows that share a hashed bucket."""
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrill.operators.pivots import FOUND, PivotCells
 from tallyrill.operators.recommend import top_per
 
 
@@ -42,35 +41,22 @@ def _block_search(k: int):
     return search
 
 
-def _searched(train: DataFrame, queries: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Best k of each group's training rows for its queries, then of all groups."""
-    found = (
-        train.groupBy(*keys)
-        .cogroup(queries.groupBy(*keys))
-        .applyInPandas(_block_search(k), "query_id bigint, train_id bigint, label double, distance double")
-    )
-    return top_per(found, ["query_id"], [F.col("distance"), F.col("train_id")], k)
-
-
 def _rows(train: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train.select("train_id", F.col("label").cast("double").alias("label"), "v"), queries.select("query_id", "v")
 
 
-def nearest(train: DataFrame, queries: DataFrame, k: int, block_rows: int = 20_000, slice_rows: int = 5_000, most: int = 100_000_000_000) -> DataFrame:
+def nearest(train: DataFrame, queries: DataFrame, k: int, part_rows: int = 20_000, slice_rows: int = 5_000) -> DataFrame:
     """k nearest training rows of every query by Euclidean distance, exactly; ties by training id.
 
-    ``train`` has (train_id, label, v) and ``queries`` (query_id, v), v an array of numbers. Every query
-    meets every training row, in blocks of rows and slices of queries, so the work is their product:
-    more than ``most`` pairs are an error. ``nearest_hashed`` is the form for more.
+    ``train`` has (train_id, label, v) and ``queries`` (query_id, v), v an array of numbers. Rows lie in cells
+    around pivots, and a query meets only those parts of cells that the triangle inequality doesn't rule
+    out (``pivots.PivotCells``). Of vectors without any structure these are nearly all, in parts of at
+    most about ``part_rows`` rows and ``slice_rows`` queries; ``nearest_hashed`` is the approximate form for such.
     """
-    t, q = _rows(train, queries)
-    n, m = t.count(), q.count()
-    if n * m > most:
-        raise ValueError(f"{n} x {m} pairs are over the bound of {most}; use nearest_hashed")
-    blocks, slices = max(1, math.ceil(n / block_rows)), max(1, math.ceil(m / slice_rows))
-    t = t.withColumn("block", F.pmod(F.xxhash64("train_id"), F.lit(blocks))).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    q = q.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    return _searched(t, q, ["block", "slice"], k)
+    cells = PivotCells(train, part_rows=part_rows)
+    if cells.empty:
+        return train.sparkSession.createDataFrame([], FOUND)
+    return cells.search(queries, k, slice_rows)[0]
 
 
 def nearest_hashed(train: DataFrame, queries: DataFrame, k: int, width: int, bits: int = 8, tables: int = 24, block_rows: int = 20_000, seed: int = 11) -> DataFrame:
