@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrill.llm.base import texts
-from tallyrill.llm.tokenise import NAME, with_end
+from tallyrill.llm.tokenise import END, NAME, batch_ids
 
 SCHEMA = (
     "sequence_id long, n_tokens long, ids binary, positions binary, cu_seqlens array<int>, doc_ids array<long>, starts array<long>, doc_tokens array<long>"
@@ -101,13 +101,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 
         number, docs, held = TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = with_end(text.as_py(), tokenizer)
-                docs.append((doc.as_py(), ids))
-                held += len(ids)
-                if held >= buffer:
-                    yield (made := _rows(docs, length, number))
-                    number, docs, held = number + made.num_rows, [], 0
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                found, starts = batch_ids(some.column(1), tokenizer, END)
+                for doc, a, b in zip(some.column(0).to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    docs.append((doc, found[a:b]))
+                    held += b - a
+                    if held >= buffer:
+                        yield (made := _rows(docs, length, number))
+                        number, docs, held = number + made.num_rows, [], 0
         if docs:
             yield _rows(docs, length, number)
 
