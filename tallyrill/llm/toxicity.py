@@ -1,6 +1,6 @@
 """Compression-distance classification of toxic text.
 
-Two zstandard dictionaries are trained, one from word starts that toxic documents have more often than
+Two zstandard dictionaries of raw content are made, one from word starts that toxic documents have more often than
 others, one from those typical of ordinary documents. A window is a word (cut at 32 characters). It is
 compressed with both; how many bytes the toxic dictionary saves over the ordinary one is its distance.
 Each pair of neighbouring characters goes in as three bytes, so that a word of four letters is long
@@ -20,16 +20,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrill.llm.base import texts
+from tallyrill.llm.base import staged, texts
 
 WINDOW = 32
 STEMS = range(3, 11)
 THRESHOLDS = (2, 4, 6, 8, 10, 12)
 TOP = max(THRESHOLDS) + 1
 MEMO = 200_000
+STEMS_KEPT = 20_000
 CARRIER = b"@what goes before each window@"  # in both dictionaries: a frame's first match is dear, the window's own comes after it
 
 
@@ -105,14 +106,22 @@ def _features(text: str, distances: _Distances) -> np.ndarray:
     return np.concatenate([np.log1p(beyond), beyond / max(n, 1), [math.log(n + 1)]])
 
 
-def _surplus(own: Counter, other: Counter, n_own: int, n_other: int, least: int) -> dict[str, float]:
-    """Stems that one side has in more documents than the other's share explains, in deviations."""
-    out = {}
-    for stem, n in own.items():
-        if n >= least:
-            expected = (other[stem] + 0.5) * n_own / n_other
-            out[stem] = (n - expected) / math.sqrt(expected + 1)
-    return out
+def _surplus(own: str, other: str, n_own: int, n_other: int) -> Column:
+    """By how many deviations one side has a stem in more documents than the other's share explains."""
+    expected = (F.col(other) + 0.5) * n_own / n_other
+    return (F.col(own) - expected) / F.sqrt(expected + 1)
+
+
+def _stems(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``stem``, ``toxic`` and ``ordinary``: in how many of the task's documents a word starts so."""
+    counts = Counter(), Counter()
+    for batch in batches:
+        for text, y in zip(batch.column(0), batch.column(1), strict=True):
+            counts[y.as_py()].update({w[:n] for w in set(windows(text.as_py())) for n in STEMS if n <= len(w)})
+    stems = sorted(counts[0] | counts[1])
+    for at in range(0, len(stems), 10_000):
+        some = stems[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array([c[t] for t in some], pa.int64()) for c in (counts[1], counts[0]))], ["stem", "toxic", "ordinary"])
 
 
 def _starts(surplus: dict[str, float], counts: Counter, least: float, size: int) -> bytes:
@@ -136,32 +145,39 @@ def _starts(surplus: dict[str, float], counts: Counter, least: float, size: int)
     return content[-size:]
 
 
-def fit(rows: list[tuple[str, int]], dictionary: int = 4096, odds: float | None = None) -> Model:
-    """A model from (text, toxic) rows. With one class only it gives that class's rate.
+def fit(labelled: DataFrame, dictionary: int = 4096, odds: float | None = None) -> Model:
+    """A model from ``text`` and ``y`` (0 or 1). With one class only it gives that class's rate.
 
-    Equal texts count once. ``odds`` are those of a toxic document, where the rows don't show them.
+    Equal texts count once. ``odds`` are those of a toxic document, where the rows don't show them. Texts stay in the
+    tasks: counts of stems are summed up, and the driver gets the ``STEMS_KEPT`` of each side that stand out most, and the
+    few features of each row.
     """
-    rows = sorted({t or "": int(bool(y)) for t, y in rows}.items())
-    n_toxic = sum(y for _, y in rows)
-    n_other = len(rows) - n_toxic
-    base = (n_toxic + 0.5) / (len(rows) + 1)
+    rows = staged(labelled.groupBy(F.sha2("text", 256).alias("key")).agg(F.min("text").alias("text"), F.max("y").cast("int").alias("y")).select("text", "y"), "labelled")
+    sizes = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
+    base = (n_toxic + 0.5) / (n_toxic + n_other + 1)
     if not n_toxic or not n_other:
         return Model(base=base)
-    words = [set(windows(t)) for t, _ in rows]
-    counts = Counter(), Counter()
-    for own, (_, y) in zip(words, rows, strict=True):
-        counts[y].update({w[:n] for w in own for n in STEMS if n <= len(w)})
-    toxic = _surplus(counts[1], counts[0], n_toxic, n_other, 3)
-    other = _surplus(counts[0], counts[1], n_other, n_toxic, 5)
+    summed = rows.mapInArrow(_stems, "stem string, toxic long, ordinary long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    counts = staged(summed, "stems")
     # what only a few copies of one document share stands out as well, by as little as they are few
-    least = max(6.0, 0.5 * math.sqrt(n_toxic))
-    trained = [_starts(toxic, counts[1], least, dictionary), _starts(other, counts[0], 3, dictionary)]
+    sides = (("toxic", "ordinary", n_toxic, n_other, 3, max(6.0, 0.5 * math.sqrt(n_toxic))), ("ordinary", "toxic", n_other, n_toxic, 5, 3.0))
+    trained = []
+    for own, other, n_own, n_rest, few, least in sides:
+        out = counts.where(F.col(own) >= few).select("stem", F.col(own).alias("n"), _surplus(own, other, n_own, n_rest).alias("x")).where(F.col("x") >= least)
+        most = out.orderBy(F.desc("x"), "stem").limit(STEMS_KEPT).collect()
+        trained.append(_starts({r.stem: r.x for r in most}, Counter({r.stem: r.n for r in most}), least, dictionary))
     if not trained[0]:  # no window stands out
         return Model(base=base)
     model = Model(trained[0], trained[1])
-    distances = _Distances(model)
-    x = np.array([_features(t, distances) for t, _ in rows])
-    y = np.array([y for _, y in rows], float)
+
+    def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_features(t.as_py(), _distances(model)).tolist() for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], ["y", "x"])
+
+    got = rows.mapInArrow(features, "y int, x array<double>").collect()
+    x, y = np.array([r.x for r in got]), np.array([r.y for r in got], float)
     mean, sd = x.mean(0), x.std(0) + 1e-9
     z = np.c_[(x - mean) / sd, np.ones(len(x))]
     w = np.zeros(z.shape[1])
@@ -192,11 +208,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = 2000, chars: int = 20_000) -> Model:
-    """Fit on at most ``rows`` labelled documents of each class, the first ``chars`` characters of each.
+def learn(docs: DataFrame, labels: DataFrame, rows: int = 2000) -> Model:
+    """Fit on at most ``rows`` labelled documents of each class, on their whole texts.
 
     ``labels`` has ``doc_id`` and ``toxic``; rows with a null are left out, a document that is labelled
-    both ways counts as toxic. The sample is taken by a hash of the id. Bounds hold for fitting only.
+    both ways counts as toxic. The sample is taken by a hash of the id. The bound holds for fitting only.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("y"))
     order = [F.xxhash64("id"), "id"]
@@ -205,8 +221,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = 2000, chars: int = 20_
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     odds = counts[1] / counts[0] if counts.get(0) and counts.get(1) else None
     # at most twice ``rows`` ids
-    got = own.join(F.broadcast(picked), own.doc_id == F.col("id")).select("id", F.substring("text", 1, chars).alias("text"), "y").dropDuplicates(["id"])
-    return fit([(r.text, r.y) for r in sorted(got.collect(), key=lambda r: r.id)], odds=odds)
+    got = own.join(F.broadcast(picked), own.doc_id == F.col("id")).select("id", "text", "y")
+    return fit(got, odds=odds)
 
 
 def held_out(id_col: str = "doc_id"):
