@@ -87,34 +87,39 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repos
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """``value``, ``repositories``, ``owners``: distinct counts per candidate hash, null names left out.
+    """``value``, ``repositories``, ``owners``: distinct counts per candidate hash.
 
-    Counted up in two steps, so that a value in very many documents is summed before it is gathered.
+    A repository without an owner counts as an owner of its own; null repositories are left out. Counted up in
+    two steps, so that a value in very many documents is summed before it is gathered.
     """
     values = F.array_distinct(F.transform(F.concat("base", "more"), lambda s: s["value"]))
     each = spans.select("repository", "owner", F.explode(values).alias("value"))
     repositories = each.select("value", "repository").distinct().groupBy("value").agg(F.count("repository").alias("repositories"))
-    owners = each.select("value", "owner").distinct().groupBy("value").agg(F.count("owner").alias("owners"))
+    held = F.struct(F.coalesce("owner", "repository").alias("name"), F.col("owner").isNull().alias("alone"))
+    owners = each.select("value", held.alias("held")).distinct().groupBy("value").agg(F.count("held.name").alias("owners"))
     return repositories.join(owners, "value")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "doc_id", owner_col: str = "source", wide: int = 3) -> DataFrame:
-    """``doc_id``, ``base`` (base spans), ``spans`` (all), ``live`` and ``copied``, one row per document.
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "doc_id", owner_col: str = "source", wide: int = 3, spread: int = 50) -> DataFrame:
+    """``doc_id``, ``base`` (base spans), ``spans`` (all), ``live``, ``copied``, ``repositories`` and ``owners``, one row per document.
 
-    A candidate whose value has fewer than ``wide`` owners is owner-specific: an entropy candidate is then
+    A candidate's value is a copied example if ``wide`` owners have it, or ``spread`` repositories, more than one owner's own use of
+    a credential explains; a repository without an owner counts as one. Any other is owner-specific: an entropy candidate is then
     added as a span. Of the base spans, which stay, ``live`` counts the owner-specific and ``copied`` the
-    others. Null and empty texts have no spans; repeated rows stay apart; no rows give no rows.
+    others; ``repositories`` and ``owners`` are those of the widest spread value among all candidates, 0 without any. Null and empty texts have no spans; repeated rows stay apart; no rows give no rows.
     """
     whole = staged(found(docs, id_col, text_col, repository_col, owner_col), "secrets")
-    known = ownership(whole).select("value", (F.col("owners") >= wide).alias("copied"))
+    known = ownership(whole).withColumn("copied", (F.col("owners") >= wide) | (F.col("repositories") >= spread))
     each = whole.select("row", F.explode(F.concat("base", "more")).alias("span")).withColumn("value", F.col("span.value"))
     judged = each.join(known, "value").groupBy("row").agg(
         F.collect_list(F.when((F.col("span.kind") == ENTROPY) & ~F.col("copied"), F.col("span"))).alias("added"),
         F.count_if((F.col("span.kind") != ENTROPY) & ~F.col("copied")).alias("live"),
         F.count_if((F.col("span.kind") != ENTROPY) & F.col("copied")).alias("copied"),
+        F.max("repositories").alias("repositories"),
+        F.max("owners").alias("owners"),
     )
     ranked = F.transform(F.concat("base", F.coalesce("added", F.expr(f"cast(array() as array<{SPAN}>)"))), lambda s: F.struct(s["start"].alias("start"), F.array_position(F.array(*map(F.lit, (*KINDS, ENTROPY))), s["kind"]).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
-    return whole.join(judged, "row", "left").select("doc_id", "base", F.array_sort(ranked).alias("spans"), F.coalesce("live", F.lit(0)).alias("live"), F.coalesce("copied", F.lit(0)).alias("copied"))
+    return whole.join(judged, "row", "left").select("doc_id", "base", F.array_sort(ranked).alias("spans"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("live", "copied", "repositories", "owners")])
 
 
 def joined(spans):

@@ -78,7 +78,7 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
 def op10_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     found = ownership.scan(_table(spark, folder, "documents"))
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in ownership.KINDS]
-    return found.select("doc_id", *counts, F.sha2(ownership.joined("base").cast("binary"), 256).alias("base_sha256"), ownership.joined("spans").alias("spans"), "live", "copied")
+    return found.select("doc_id", *counts, F.sha2(ownership.joined("base").cast("binary"), 256).alias("base_sha256"), ownership.joined("spans").alias("spans"), "live", "copied", "repositories", "owners")
 
 
 @_query
@@ -88,11 +88,35 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hardnegatives.mined(moved, F.col("vec_id") % 50 == 0)
 
 
+TWINS["op11_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.label AS other, b.vec_id AS id, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE own = other QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+  n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND own <> other AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 @_query
 def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return parityjoin.linked(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+TWINS["op12_ngram_join"] = """
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+  g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM d),
+  s AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM g),
+  l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+  r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, len(g) AS n_shingles, least(doc_id, (SELECT min(b) FROM r WHERE r.a = g.doc_id)) AS component_id FROM g
+"""
+
+
 @_query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     made = whitening.whitened(_table(spark, folder, "embeddings"))
