@@ -166,6 +166,17 @@ def test_decontamination(spark):
     assert decontaminate.contamination(table.limit(0), marks).collect() == []
 
 
+def test_clean_judges_each_text_by_itself(spark):
+    """Null and repeated ids: only the rows that hold a passage go."""
+    rng = random.Random(44)
+    item = prose(rng, 30)
+    marks = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"{prose(rng, 9)} {item}"), (None, "a clean text"), (5, f"{item} {prose(rng, 9)}"), (5, "another clean one"), (6, None), (6, item)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in decontaminate.clean(table, marks).collect()), key=str)
+    assert kept == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
 def test_decontamination_beyond_broadcast(spark, monkeypatch):
     rng = random.Random(42)
     item = prose(rng, 30)

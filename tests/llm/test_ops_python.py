@@ -261,6 +261,34 @@ def test_toxicity(spark):
     assert toxicity.score(table.limit(0), model).collect() == []
 
 
+def test_secret_owners_against_plain_counts(spark):
+    """Values by repository and owner, with null owners, null repositories, repeated rows and very long texts."""
+    rng = random.Random(6)
+    values = ["Qk%sz9Lw2Rt7Yb4Xc%dNm" % (rng.choice("abcdef"), i) for i in range(30)]
+    rows = []
+    for doc in range(220):
+        value = values[0] if doc % 3 == 0 else values[rng.randrange(1, 30)] if doc % 5 else values[1]
+        owner = "hot" if doc % 3 == 0 else None if doc % 7 == 0 else f"o{rng.randrange(4)}"
+        rows.append((None if doc in (4, 9) else doc, ("x" * 200_000 if doc == 50 else "") + f"password = {value}", owner))
+    rows += rows[:3]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    own, value_of = {}, {}
+    for doc, text, owner in rows:
+        value_of[doc] = text.split(" = ")[1]
+        got = own.setdefault(value_of[doc], (set(), set()))
+        got[0].update({doc} - {None})
+        got[1].update({owner or f"repository {doc}"} - {"repository None"})
+    for wide, spread in ((3, 50), (99, 50), (3, 1000)):
+        for r in ownership.scan(table, wide=wide, spread=spread).collect():
+            if r.doc_id is None:
+                continue
+            value = value_of[r.doc_id]
+            repositories, owners = map(len, own[value])
+            copied = owners >= wide or repositories >= spread
+            assert (r.repositories, r.owners) == (repositories, owners), value
+            assert (r.live, r.copied) == ((0, 1) if copied else (1, 0))
+
+
 def plain_repeats(words, least):
     """Words of each document covered by runs of ``least`` that occur at two places or more."""
     seen = {}

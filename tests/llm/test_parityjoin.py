@@ -5,10 +5,11 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from compare import compare, duck
 
 from tallyrill.llm import parityjoin
 from tallyrill.llm.neardup import shingles
-from tallyrill.llm.queries import QUERIES
+from tallyrill.llm.queries import QUERIES, TWINS
 
 DOCS = "doc_id long, text string, node long, key string, n_chars long"
 
@@ -116,3 +117,9 @@ def test_whole_table(spark):
     got = QUERIES["op12_ngram_join"](spark, folder)
     assert got.dtypes == [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint")]
     assert sorted((tuple(r) for r in got.collect()), key=str) == plain(rows)
+
+
+@pytest.mark.parametrize("name", sorted(TWINS))
+def test_twin(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert compare(spark, duck(folder), folder, name, QUERIES[name], TWINS[name]) is None

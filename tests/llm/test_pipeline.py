@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 from test_ops_native import changed, plain_classes
-from test_ops_python import grouped, plain_simhash, prose, rebuilt
+from test_ops_python import grouped, prose, rebuilt
 
 import __spark_entry__
 import corpus_pipeline
@@ -22,7 +22,11 @@ COLUMNS = {
     "op8_": {"doc_id": "bigint", "item_id": "bigint"},
     "op9_": {"doc_id": "bigint", "other_doc_id": "bigint"},
     "op10_": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
+    "op11_": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
+    "op12_": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op13_": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"},
 }
+TABLES = ("documents", "labels", "benchmark", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -44,10 +48,18 @@ def folder(spark, tmp_path_factory):
             body[-1] += " " + rng.choice(items)
         texts.append("\n".join(body))
     texts += [texts[7], texts[9], texts[9].upper(), texts[10] + " "]
+    for i in range(12):  # near copies, some within a similarity of 0.8 and some not
+        words = prose(rng, 90).split()
+        texts.append(" ".join(words))
+        for k in range(i % 4 + 1):
+            words[20 * k] = "moved"
+        texts.append(" ".join(words))
     at = str(tmp_path_factory.mktemp("corpus"))
     spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(2).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(len(texts)) if i % 3], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    vectors = [(i, [rng.gauss(0, 1) for _ in range(6)], i % 10) for i in range(120)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{at}/embeddings.parquet")
     return at, texts, items
 
 
@@ -89,8 +101,16 @@ def test_pipeline_against_plain_stages(spark, folder):
     docs, got = stage(1, docs)
     assert got == after and len(after) < len(left)
 
-    fps = {i: plain_simhash(t) for i, t in after.items()}
-    near = grouped([(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 3], fps)
+    def alike(a, b):
+        return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+    sets = {}
+    for i, t in after.items():
+        words = (t or "").lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    near = grouped([(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])], sets)
+    copies = [i for i in near if near[i] != i]
+    assert len(copies) >= 6
     docs, got = stage(2, docs)
     assert set(got) == set(near.values())
 
@@ -113,7 +133,7 @@ def test_pipeline_against_plain_stages(spark, folder):
 
 def test_empty_tables(spark, folder, tmp_path):
     at = str(tmp_path)
-    for name in ("documents", "labels", "benchmark"):
+    for name in TABLES:
         spark.read.parquet(f"{folder[0]}/{name}.parquet").limit(0).write.parquet(f"{at}/{name}.parquet")
     for name, query in queries.QUERIES.items():
         assert query(spark, at).collect() == [], name
