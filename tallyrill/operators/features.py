@@ -119,7 +119,7 @@ def components_for(df: DataFrame, column: str, share: float = 0.90, out: str = "
     return PipelineModel(stages=[model, first]), shares
 
 
-def text_stages(text: str = "text", label: str = "class", length: str = "length", vocab_size: int = 1 << 14) -> Pipeline:
+def text_stages(text: str = "text", label: str = "class", length: str = "length", vocab_size: int = 1 << 18) -> Pipeline:
     """Label code, tokens, stop words, counts, weights, and the text length in one vector."""
     return Pipeline(
         stages=[
@@ -129,7 +129,7 @@ def text_stages(text: str = "text", label: str = "class", length: str = "length"
     )
 
 
-def text_only_stages(text: str = "text", length: str = "length", vocab_size: int = 1 << 14) -> list:
+def text_only_stages(text: str = "text", length: str = "length", vocab_size: int = 1 << 18) -> list:
     return [
         Tokenizer(inputCol=text, outputCol="__tokens"),
         StopWordsRemover(inputCol="__tokens", outputCol="__kept", stopWords=[*STOP_WORDS, *STOP_SIGNS]),

@@ -32,18 +32,22 @@ def local_regression(df: DataFrame, x: str, y: str, knots: int = 20, share: floa
         raise ValueError("degree has to be 1 or 2")
     src = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
     points = stage(src.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy")), "points")
-    span = F.broadcast(points.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("all")).where("lo IS NOT NULL"))
-    steps = F.sequence(F.lit(0), F.lit(knots - 1))
-    place = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("knot") / F.lit(max(knots - 1, 1))
-    needed = F.least(F.greatest(F.floor(F.col("all") * share), F.lit(degree + 1)), F.col("all"))
-    at = stage(span.select("lo", "hi", "all", F.explode(steps).alias("knot")).select("knot", place.alias("at"), needed.alias("needed")), "knots")
-    # each point meets each knot: knots rows, which are few by their number
-    met = points.withColumn("__j", F.lit(1)).join(F.broadcast(at.withColumn("__j", F.lit(1))), "__j").drop("__j")
-    far = met.withColumn("far", F.abs(F.col("x") - F.col("at")))
-    ranked = with_running(far.groupBy("knot", "needed", "far").agg(F.sum("n").alias("n")), ["knot", "needed"], ["far"], F.col("n"), "upto", "whole")
-    reach = ranked.where("upto >= needed").groupBy("knot").agg(F.min("far").alias("reach"))
-    wide = at.join(reach, "knot").select("knot", "at", "reach")
-    near = points.withColumn("__j", F.lit(1)).join(F.broadcast(wide.withColumn("__j", F.lit(1))), "__j").drop("__j")
+    lo, hi, rows = points.agg(F.min("x"), F.max("x"), F.sum("n")).first()
+    if not rows:
+        return df.sparkSession.createDataFrame([], "knot int, x double, reach double, points bigint, fit double")
+    places = [lo + (hi - lo) * k / max(knots - 1, 1) for k in range(knots)]
+    needed = min(max(int(rows * share), degree + 1), rows)
+
+    def met(cells: list[dict[str, Column]]) -> DataFrame:
+        """Each point beside each knot."""
+        listed = F.array(*[F.struct(*[c.alias(name) for name, c in cell.items()]) for cell in cells])
+        return points.select("*", F.inline(listed))
+
+    far = met([{"knot": F.lit(k), "at": F.lit(at)} for k, at in enumerate(places)]).withColumn("far", F.abs(F.col("x") - F.col("at")))
+    ranked = with_running(far.groupBy("knot", "far").agg(F.sum("n").alias("n")), ["knot"], ["far"], F.col("n"), "upto", "whole")
+    reaches = dict(ranked.where(F.col("upto") >= needed).groupBy("knot").agg(F.min("far")).collect())
+    cells = [{"knot": F.lit(k), "at": F.lit(at), "reach": F.lit(reaches[k])} for k, at in enumerate(places)]
+    near = met(cells)
     d = F.try_divide(F.col("x") - F.col("at"), F.col("reach"))
     near = near.withColumn("d", F.coalesce(d, F.when(F.col("x") == F.col("at"), F.lit(0.0)))).where("abs(x - at) < reach OR x = at")
     cube = 1 - F.abs("d") * F.abs("d") * F.abs("d")
@@ -57,6 +61,7 @@ def local_regression(df: DataFrame, x: str, y: str, knots: int = 20, share: floa
 
     moments = [F.sum(power(i) * F.col("n")).alias(f"s{i}") for i in range(2 * degree + 1)]
     moments += [F.sum(power(i) * F.col("sy")).alias(f"t{i}") for i in range(degree + 1)]
+    wide = df.sparkSession.createDataFrame([(k, at, reaches[k]) for k, at in enumerate(places)], "knot int, at double, reach double")
     sums = wide.join(near.groupBy("knot").agg(F.sum("n").alias("points"), *moments), "knot", "left")
     top, bottom = _solved(degree)
     size = F.pow("s0", F.lit(degree + 1))

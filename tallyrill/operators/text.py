@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrill.operators.relational import join_back
+from tallyrill.session import stage
 
 # Addresses, mentions and hashtags stay whole, then words, then single signs.
 TWEET_PATTERN = r"https?://[^\s]+|[@#][A-Za-z0-9_]+|[\p{L}\p{N}']+|[^\s\p{L}\p{N}]"
@@ -93,6 +94,48 @@ def vocabulary_presence(df: DataFrame, text: str, vocabulary: DataFrame, size: i
     return df.withColumn(out, marks[0])
 
 
+PIECE = 256  # characters of a token that are searched at a time
+
+
+def vocabulary_hits(df: DataFrame, doc: str, text: str, vocabulary: DataFrame, size: int, gram: int = 3) -> DataFrame:
+    """(document, term): the vocabulary words that occur anywhere in a lower-case text (substring test), each once.
+
+    A word without white space lies within one token, so only a text's distinct tokens are searched: each
+    of their ``gram``-character pieces is looked up in an index of the words' first characters, and what
+    it finds is compared. So time grows with text and hits, not with words times text. The index is
+    broadcast; it has one row for each word, and more than ``size`` words are an error. Words with white space, which
+    are few, are looked for one by one. Texts without hits and null texts give no rows.
+    """
+    terms = stage(vocabulary.select("term").where("term <> ''").distinct().limit(size + 1), "vocabulary")
+    kinds = terms.select(F.rlike("term", F.lit(r"\s")).alias("spaced"), F.least(F.length("term"), F.lit(gram)).alias("first"), F.length("term").alias("n"), "term")
+    counts = kinds.groupBy("spaced", "first").agg(F.count(F.lit(1)).alias("words"), F.max("n").alias("longest")).collect()
+    if sum(r["words"] for r in counts) > size:
+        raise ValueError(f"the vocabulary has more than {size} words")
+    spaced = [r["term"] for r in kinds.where("spaced").collect()] if any(r["spaced"] for r in counts) else []
+    firsts = sorted({r["first"] for r in counts if not r["spaced"]})
+    longest = max((r["longest"] for r in counts if not r["spaced"]), default=1)
+    docs = df.select(doc, F.lower(F.col(text)).alias("__t"))
+    found = docs.where(F.lit(False)).select(doc, F.lit("").alias("term"))
+    if firsts:
+        tokens = docs.select(doc, F.explode(F.array_distinct(F.split("__t", r"\s+"))).alias("__k")).where("__k <> ''")
+        # a long token goes in pieces that overlap by the longest word
+        starts = F.sequence(F.lit(0), F.expr(f"(length(__k) - 1) div {PIECE}"))
+        pieces = tokens.select(doc, F.explode(F.transform(starts, lambda i: F.substring("__k", i * PIECE + 1, F.lit(PIECE + longest - 1)))).alias("__k"))
+        here = F.sequence(F.lit(1), F.length("__k"))
+
+        def cut(length: int) -> Column:
+            return F.transform(here, lambda i: F.struct(i.alias("at"), F.substring("__k", i, F.lit(length)).alias("g")))
+
+        parts = [cut(n) for n in firsts]
+        grams = pieces.select(doc, "__k", F.explode(F.concat(*parts)).alias("__p")).select(doc, "__k", "__p.at", "__p.g")
+        index = kinds.where("NOT spaced").select("term", "n", F.expr("substring(term, 1, first)").alias("g"))
+        met = grams.join(F.broadcast(index), "g").where(F.expr("substring(__k, at, n)") == F.col("term"))
+        found = met.select(doc, "term")
+    for term in spaced:
+        found = found.unionByName(docs.where(F.contains("__t", F.lit(term))).select(doc, F.lit(term).alias("term")))
+    return found.distinct()
+
+
 def lexicon_scores(df: DataFrame, doc: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Compound score s / sqrt(s^2 + 15), s the sum of term valences; 0 without a hit.
 

@@ -10,6 +10,7 @@ from tallyrill.functions import scalars as S
 from tallyrill.operators import profile as P
 from tallyrill.operators.ordered import exact_quantiles
 from tallyrill.operators.relational import collapse_rare, columns_by_type, natural_left_join
+from tallyrill.operators.smooth import local_regression
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query, table
 
@@ -302,6 +303,28 @@ def agg22(spark, sf):
     return out.withColumns({"mean_y": F.round("mean_y", 4), "sd_y": F.round("sd_y", 4)})
 
 
+def smooth_sql(source: str, x: str, y: str, knots: int, share: float) -> str:
+    """Local parabolas with the same weights, every point against every knot."""
+    moments = ", ".join([f"sum(w * d ** {i}) AS s{i}" for i in range(5)] + [f"sum(w * d ** {i} * y) AS t{i}" for i in range(3)])
+    top = "t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)"
+    bottom = "s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2)"
+    return f"""WITH p AS (SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+      g AS (SELECT min(x) AS lo, max(x) AS hi, least(greatest(floor(count(*) * {share}), 3), count(*)) AS needed FROM p),
+      k AS (SELECT CAST(knot AS INTEGER) AS knot, lo + (hi - lo) * knot / {knots - 1} AS mid, needed FROM g, (SELECT unnest(range({knots})) AS knot)),
+      f AS (SELECT knot, mid, x, y, abs(x - mid) AS far, needed, row_number() OVER (PARTITION BY knot ORDER BY abs(x - mid)) AS i FROM k, p),
+      r AS (SELECT knot, mid, max(far) AS reach FROM f WHERE i <= needed GROUP BY 1, 2),
+      w AS (SELECT r.knot, r.mid, reach, (x - r.mid) / reach AS d, (1 - (far / reach) ** 3) ** 3 AS w, y FROM f JOIN r USING (knot) WHERE far < reach),
+      m AS (SELECT knot, mid, reach, count(*) AS points, {moments} FROM w GROUP BY 1, 2, 3)
+      SELECT knot, round(mid, 6) AS x, round(reach, 6) AS reach, points, round(CASE WHEN {bottom} > 1e-10 * s0 ** 3 THEN ({top}) / ({bottom}) ELSE t0 / s0 END, 4) AS fit FROM m"""
+
+
+@query("agg22_smoothed_trend", smooth_sql(COR_SQL, "total_delay", "humid", 20, 0.75))
+def agg22b(spark, sf):
+    """Local parabolas at 20 delays, each over the nearest three quarters of the flights."""
+    out = local_regression(delay_weather(spark, sf), "total_delay", "humid")
+    return out.select("knot", F.round("x", 6).alias("x"), F.round("reach", 6).alias("reach"), "points", F.round("fit", 4).alias("fit"))
+
+
 @query(
     "agg23_histogram",
     """WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)

@@ -16,6 +16,7 @@ from pyspark.ml.evaluation import (
     ClusteringEvaluator,
     MulticlassClassificationEvaluator,
 )
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import functions as F
@@ -23,15 +24,19 @@ from pyspark.sql import functions as F
 from tallyrill.functions import scalars as S
 from tallyrill.operators import evaluate as E
 from tallyrill.operators import features as FE
+from tallyrill.operators import forest as FO
 from tallyrill.operators import impute as I
+from tallyrill.operators import ledger as G
 from tallyrill.operators import models as M
 from tallyrill.operators import text as X
+from tallyrill.operators.glm import coefficient_table
 from tallyrill.operators.splits import random_split
+from tallyrill.operators.subspace import wide_components
 from tallyrill.plans import standins as D
 from tallyrill.plans.mining import COUNTS, lexicon
 from tallyrill.plans.registry import query, table
 from tallyrill.plans.tables import fresh
-from tallyrill.session import stage
+from tallyrill.session import owned_path, stage
 from tallyrill.streaming import score as ST
 
 
@@ -136,6 +141,15 @@ def fea06(spark, sf):
     return spread.select(F.inline(cells))
 
 
+@query("fea06_wide_components")
+def fea06b(spark, sf):
+    """Components of the word counts of all texts, hashed to 8,192 columns: the share that each explains."""
+    tokens = D.all_texts(spark, sf).select("doc_id", F.coalesce(X.plain_tokens("text"), F.array().cast("array<string>")).alias("tokens"))
+    counts = HashingTF(inputCol="tokens", outputCol="x", numFeatures=1 << 13).transform(tokens)
+    made = wide_components(stage(counts.select("doc_id", "x"), "wide"), "x", 5, rounds=3)
+    return spark.createDataFrame([(i, float(v), float(s)) for i, (v, s) in enumerate(zip(made.variances, made.shares))], "component int, variance double, share double")
+
+
 @query("fea09_count_vector", f"SELECT term, count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM {COUNTS} GROUP BY 1")
 def fea09b(spark, sf):
     """Sparse counts per document, of all terms, summed up by term where they are."""
@@ -264,6 +278,27 @@ def ml04(spark, sf):
     return spark.createDataFrame(table_rows, "term string, estimate double, std_error double, t_value double, p_value double")
 
 
+@query("ml04_whole_formula")
+def ml04b(spark, sf):
+    """Outcome by age, fare, company, class, sex and port: every contrast with its error, deviance and AIC."""
+    p = D.passengers(spark, sf).filter(F.col("survived").isNotNull())
+    return coefficient_table(p, "survived", ["age", "fare", "sibsp"], ["pclass", "sex", "embarked"])
+
+
+@query(
+    "ml04_check_factor",
+    f"""WITH g AS (SELECT CAST(pclass AS VARCHAR) AS f, sum(survived) AS a, count(*) - sum(survived) AS b FROM {D.PASSENGERS} WHERE survived IS NOT NULL AND pclass IS NOT NULL GROUP BY 1),
+        z AS (SELECT * FROM g ORDER BY f LIMIT 1), d AS (SELECT -2 * sum(a * ln(a / (a + b)) + b * ln(b / (a + b))) AS deviance, count(*) AS k FROM g)
+        SELECT CASE WHEN g.f = z.f THEN '(Intercept)' ELSE 'pclass' || g.f END AS term, round(ln(g.a / g.b) - CASE WHEN g.f = z.f THEN 0 ELSE ln(z.a / z.b) END, 6) AS estimate,
+        round(sqrt(1.0 / g.a + 1.0 / g.b + CASE WHEN g.f = z.f THEN 0 ELSE 1.0 / z.a + 1.0 / z.b END), 6) AS error, round(deviance, 4) AS deviance, round(deviance + 2 * k, 4) AS aic FROM g, z, d""",
+)
+def ml04c(spark, sf):
+    """One factor alone has a closed form: differences of logits, and errors from the counts."""
+    p = D.passengers(spark, sf).filter(F.col("survived").isNotNull())
+    made = coefficient_table(p, "survived", factors=["pclass"])
+    return made.select("term", *[F.round(c, d).alias(c) for c, d in (("estimate", 6), ("error", 6), ("deviance", 4), ("aic", 4))])
+
+
 def labelled_vectors(spark, sf):
     v = random_split(vectors(spark, sf), "vec_id", 0.8)
     return stage(v.withColumnRenamed("raw", "features"), "vectors")
@@ -296,6 +331,41 @@ def ml06(spark, sf):
     return M.permutation_importance(rows, "passenger_id", inputs, lambda df: model.transform(df).agg(E.accuracy().alias("a")).first()["a"])
 
 
+def forest_rows(spark, sf):
+    """Known outcomes with three inputs and a column of noise."""
+    p = D.passengers(spark, sf).filter(F.col("survived").isNotNull())
+    inputs = ["age", "fare", "sibsp", "noise"]
+    p = I.fill_mean(p, ["age", "fare"]).withColumn("noise", S.hash_unit("passenger_id", 77))
+    rows = FE.assemble(inputs).transform(p.withColumn("sibsp", F.col("sibsp").cast("double")))
+    return stage(rows.select("passenger_id", F.col("survived").cast("double").alias("label"), "features"), "forest"), inputs
+
+
+@query("ml05_out_of_bag_error")
+def ml05c(spark, sf):
+    """Error by the trees that didn't see a row, beside the share of the rarer class."""
+    rows, _ = forest_rows(spark, sf)
+    bagged = FO.fit_bagged(rows, "passenger_id", trees=12, depth=4, subset="all", shuffles=0)
+    rarer = rows.agg(F.least(F.avg("label"), 1 - F.avg("label")).alias("p")).scalar()
+    return bagged.error("passenger_id").withColumn("rarer_class", rarer)
+
+
+@query(
+    "ml05_check_bags",
+    f"SELECT tree, {FO.bag_weight_sql('passenger_id', 'tree')} AS weight, count(*) AS n FROM {D.PASSENGERS}, (SELECT CAST(unnest(range(5)) AS INTEGER) AS tree) GROUP BY 1, 2",
+)
+def ml05d(spark, sf):
+    """How many rows are how often in the first bags."""
+    each = D.passengers(spark, sf).select("passenger_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("tree"))
+    return each.groupBy("tree", FO.bag_weight("passenger_id", F.col("tree")).alias("weight")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ml06_out_of_bag_importance")
+def ml06b(spark, sf):
+    """Loss of accuracy outside the bags, per input."""
+    rows, inputs = forest_rows(spark, sf)
+    return FO.named(FO.fit_bagged(rows, "passenger_id", trees=8, depth=4, subset="all").importance(), inputs)
+
+
 @query("ml07_boosted_trees")
 def ml07(spark, sf):
     return fit_and_compare(prepared(spark, sf), M.boosting(n_estimators=10, learning_rate=0.1, max_depth=3, subsample=0.9))
@@ -317,15 +387,17 @@ def ml08(spark, sf):
 
 
 def presence_rows(spark, sf):
-    """Vocabulary presence and the lexicon score as one vector per labelled text."""
+    """Presence of 3,000 vocabulary words and the lexicon score as one sparse vector per labelled text."""
     rows = text_rows(spark, sf)
-    vocab = X.top_words(X.words(rows.filter("split = 'train'"), "text"), 100)
-    marked = X.vocabulary_presence(rows, "text", vocab, 100)
+    vocab = stage(X.top_words(X.words(rows.filter("split = 'train'"), "text"), 3000), "words")
+    hits = X.vocabulary_hits(rows, "doc_id", "text", vocab, 3000).groupBy("doc_id").agg(F.collect_list("term").alias("found"))
+    terms = sorted(r["term"] for r in vocab.collect())
     scores = X.lexicon_scores(rows, "doc_id", "text", stage(lexicon(spark, sf), "lexicon"))
-    both = marked.join(scores, "doc_id")
-    vector = array_to_vector(F.concat(F.transform("present", lambda x: x.cast("double")), F.array("compound")))
+    both = rows.join(hits, "doc_id", "left").join(scores, "doc_id").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
+    marked = CountVectorizerModel.from_vocabulary(terms, "found", "present").setBinary(True).transform(both)
+    vector = VectorAssembler(inputCols=["present", "compound"], outputCol="features").transform(marked)
     label = F.when(F.col("class") == "pos", 1.0).otherwise(0.0)
-    return stage(both.select("doc_id", "split", label.alias("label"), vector.alias("features")), "presence")
+    return stage(vector.select("doc_id", "split", label.alias("label"), "features"), "presence")
 
 
 @query("ml09_gaussian_bayes_text")
@@ -388,6 +460,16 @@ def ml14(spark, sf):
     return M.grid_table(tuned, spark, "forest")
 
 
+@query("ml14_grid_ledger")
+def ml14b(spark, sf):
+    """144 points in three folds, each fit written down as it ends; a second run finds nothing left to fit."""
+    rows = M.with_folds(prepared(spark, sf).filter("split = 'train'"), "id", 3)
+    grid = {"maxDepth": [1, 2, 3, 4, 5, 6], "minInstancesPerNode": [1, 2, 4, 8, 16, 32], "maxBins": [8, 16, 32, 64]}
+    path = owned_path(spark, "ledger")
+    fits = G.run_grid(rows, lambda p: _set(DecisionTreeClassifier(seed=5), p), "tree", grid, MulticlassClassificationEvaluator(metricName="f1"), path, parallelism=8)
+    return G.grid_scores(fits).drop("grid")
+
+
 @query("ml16_cross_validated_score")
 def ml16(spark, sf):
     rows = M.with_folds(prepared(spark, sf).filter("split = 'train'"), "id", 3)

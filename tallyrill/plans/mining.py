@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tallyrill.functions import scalars as S
 from tallyrill.operators import evaluate as E
 from tallyrill.operators import impute as I
+from tallyrill.operators import matching as MT
 from tallyrill.operators import neighbors as N
 from tallyrill.operators import recommend as RC
 from tallyrill.operators import splits as SP
+from tallyrill.operators import strata as SG
 from tallyrill.operators import text as X
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query, table
@@ -261,21 +263,47 @@ def imp06b(spark, sf):
     return out.agg(F.count("v10").alias("v10"), F.count("v12").alias("v12"), F.round(F.avg("v10"), 2).alias("mean_v10"))
 
 
+def matched_sql(donors: int) -> str:
+    """The nearest observed rows by the line through them, all pairs compared."""
+    return f"""WITH w AS (SELECT id, v10, coalesce(v12, (SELECT avg(v12) FROM {D.CLAIMS})) AS v12 FROM {D.CLAIMS}),
+      c AS (SELECT id, v10, v12 - (SELECT avg(v12) FROM w) AS x FROM w), f AS (SELECT regr_intercept(v10, x) AS a, regr_slope(v10, x) AS b FROM c WHERE v10 IS NOT NULL),
+      p AS (SELECT id, v10, round(a + b * x, {MT.PLACES}) AS at FROM c, f),
+      n AS (SELECT r.id, d.id AS donor, d.v10 AS value, row_number() OVER (PARTITION BY r.id ORDER BY abs(d.at - r.at), d.at, d.id) AS place
+        FROM p r, p d WHERE r.v10 IS NULL AND d.v10 IS NOT NULL)
+      SELECT id, donor, round(value, 4) AS value FROM n WHERE place <= {donors}"""
+
+
+@query("imp06_matched_nearest", matched_sql(1))
+def imp06c(spark, sf):
+    """The value of the observed row whose prediction is nearest, for each gap."""
+    drawn = MT.matched_draws(D.claims(spark, sf).select("id", "v10", "v12"), "id", "v10", ["v12"], draws=0, donors=1)
+    return drawn.select("id", "donor", F.round("value", 4).alias("value"))
+
+
+@query("imp06_pooled_means")
+def imp06d(spark, sf):
+    """Mean of a column with gaps by five imputations, with the variance within and between them."""
+    c = stage(D.claims(spark, sf).select("id", "v10", "v12", "v14"), "claims")
+    tables = MT.completed(c, "id", "v10", MT.matched_draws(c, "id", "v10", ["v12", "v14"]).where("draw > 0"))
+    each = tables.groupBy("draw").agg(F.avg("v10").alias("estimate"), (F.var_samp("v10") / F.count("v10")).alias("variance"))
+    return MT.pooled(each)
+
+
 # --- recommenders -------------------------------------------------------------------------
 def rated(spark, sf):
     """Ratings written once: the steps below read them several times."""
     return stage(D.ratings(spark, sf), "ratings")
 
 
-def active_user(ratings):
-    """The user with fewest ratings, five at least, and the two with most."""
+def active_users(ratings):
+    """The users asked about: every one whose id is divisible by 20, and the one with fewest ratings, five at least."""
     counts = ratings.groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
     least = counts.orderBy("n", "userid").limit(1).select("userid")
-    return least.union(counts.orderBy(F.col("n").desc(), "userid").limit(2).select("userid")).distinct()
+    return ratings.filter("userid % 20 = 0").select("userid").union(least).distinct()
 
 
 COUNTED = f"(SELECT userid, count(*) AS n FROM {D.RATINGS} GROUP BY 1 HAVING count(*) >= 5)"
-ACTIVE = f"((SELECT userid FROM {COUNTED} ORDER BY n, 1 LIMIT 1) UNION (SELECT userid FROM {COUNTED} ORDER BY n DESC, 1 LIMIT 2))"
+ACTIVE = f"((SELECT userid FROM {D.RATINGS} WHERE userid % 20 = 0) UNION (SELECT userid FROM {COUNTED} ORDER BY n, 1 LIMIT 1))"
 REC_SQL = f"""WITH r AS (SELECT * FROM {D.RATINGS}), a AS (SELECT userid FROM {ACTIVE}),
   m AS (SELECT userid, avg(rating) AS m FROM r GROUP BY 1),
   s AS (SELECT x.userid AS active, y.userid AS neighbour, count(*) AS shared, CASE WHEN count(*) >= 2
@@ -304,12 +332,12 @@ def rec01b(spark, sf):
 )
 def rec02(spark, sf):
     r = rated(spark, sf)
-    mine = r.join(active_user(r), "userid", "left_semi")
+    mine = r.join(active_users(r), "userid", "left_semi")
     return RC.favourites(mine, D.titles(spark, sf), 5).select("userid", "title", F.round("rating", 6).alias("rating"))
 
 
 def sims(r):
-    return RC.similarity(r, active_user(r))
+    return RC.similarity(r, active_users(r))
 
 
 @query("rec03_similarity", REC_SQL + "SELECT active, neighbour, shared, sim FROM s")
@@ -377,10 +405,17 @@ def rec07b(spark, sf):
     return both.agg(F.count(F.lit(1)).alias("users"), F.every((gaps[0] < 1e-3) & (gaps[1] < 1e-3)).alias("solved"))
 
 
+@query("rec07_gradient_error")
+def rec07c(spark, sf):
+    """Error after each epoch of gradient steps over strata."""
+    made = SG.factorise_by_strata(rated(spark, sf), 2, blocks=4, rate=0.01, epochs=3)
+    return spark.createDataFrame(list(enumerate(made.errors, 1)), "epoch int, error double")
+
+
 @query("rec08_factor_top")
 def rec08(spark, sf):
     r = rated(spark, sf)
-    return RC.factor_unseen_top(RC.factorise(r), r, active_user(r), D.titles(spark, sf), 5)
+    return RC.factor_unseen_top(RC.factorise(r), r, active_users(r), D.titles(spark, sf), 5)
 
 
 # --- splits -------------------------------------------------------------------------------
@@ -503,6 +538,9 @@ CONTENT = f"""term NOT LIKE '%http%' AND term NOT LIKE '#%' AND term NOT LIKE '%
 WORDS = f"(SELECT doc_id, term FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) WHERE {CONTENT})"
 LABELLED_WORDS = f"(SELECT doc_id, class, term FROM (SELECT doc_id, class, unnest({TOKENS}) AS term FROM {D.TEXTS}) WHERE {CONTENT})"
 TOP_WORDS = f"(SELECT term, count(*) AS n FROM {WORDS} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50)"
+VOCABULARY = 3000
+PRESENCE = f"""(SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM documents,
+    (SELECT term, count(*) AS n FROM {WORDS} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {VOCABULARY}) GROUP BY 1)"""
 
 
 def content_words(spark, sf):
@@ -564,15 +602,12 @@ def fea10(spark, sf):
     return weighted.withColumn("tf_idf", F.round("tf_idf", 6))
 
 
-@query(
-    "fea11_vocabulary_presence",
-    f"""SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM documents, (SELECT term FROM {TOP_WORDS}) GROUP BY 1""",
-)
+@query("fea11_vocabulary_presence", PRESENCE[1:-1])
 def fea11(spark, sf):
     docs = D.all_texts(spark, sf)
-    vocab = X.top_words(X.words(docs, "text"), 50)
-    marked = X.vocabulary_presence(docs, "text", vocab, 50)
-    return marked.select("doc_id", F.aggregate("present", F.lit(0), lambda a, b: a + b).alias("hits"))
+    vocab = X.top_words(X.words(docs, "text"), VOCABULARY)
+    counts = X.vocabulary_hits(docs, "doc_id", "text", vocab, VOCABULARY).groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
+    return docs.select("doc_id").join(counts, "doc_id", "left").select("doc_id", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 LEXICON = f"""(SELECT term, round(avg(CASE WHEN class = 'neg' THEN -1.0 ELSE 1.0 END), 4) AS valence FROM
@@ -599,7 +634,7 @@ def fea12(spark, sf):
 @query(
     "joi09_two_features_one_row",
     f"""SELECT doc_id, hits, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) AS compound FROM
-        (SELECT doc_id, count(*) FILTER (WHERE contains(lower(text), term)) AS hits FROM documents, (SELECT term FROM {TOP_WORDS}) GROUP BY 1) LEFT JOIN
+        {PRESENCE} LEFT JOIN
         (SELECT doc_id, sum(valence) AS s FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) JOIN {LEXICON} USING (term) GROUP BY 1) USING (doc_id)""",
 )
 def joi09(spark, sf):

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyrill.operators import arima as A
+from tallyrill.operators import css as C
 from tallyrill.operators import series as TS
 from tallyrill.plans import standins as D
 from tallyrill.plans.registry import query
 from tallyrill.plans.timeseries import DIFFS, MONTHLY_ACF, diffs
 
-GRID = A.order_grid(range(3), range(2), range(3), range(2), range(1), range(2))
+GRID = A.order_grid(range(7), range(2), range(7), range(2), range(2), range(2))
 
 
 def log_monthly(spark, sf):
@@ -77,9 +78,36 @@ def ts12(spark, sf):
     return fit.select("key", "n", F.round(F.col("coef")[0], 6).alias("ar1"))
 
 
+@query("ts10_multiplicative_orders")
+def ts10b(spark, sf):
+    """All orders of the grid with seasonal factors that multiply, by conditional least squares."""
+    found = C.conditional_fits(log_monthly(spark, sf), ["key"], ["t"], "y", GRID, 12, most_steps=15)
+    return found.select("key", "order_id", *A.ORDER, "n", "k", "sse", "start_sse", "aic", "bic", "ar_ok", "ma_ok", "steps", "status")
+
+
+@query(
+    "ts12_check_conditional",
+    f"""SELECT key, n, round(sxy / sxx, 5) AS ar1, round(syy - sxy * sxy / sxx, 4) AS sse FROM (SELECT key, count(*) AS n, sum(e * x) AS sxy, sum(x * x) AS sxx, sum(e * e) AS syy FROM
+        (SELECT key, e, lag(e) OVER (PARTITION BY key ORDER BY t) AS x FROM {DIFFS}) WHERE x IS NOT NULL GROUP BY 1)""",
+)
+def ts12b(spark, sf):
+    """Without error lags the least conditional sum of squares has a closed form."""
+    fit = C.conditional_fits(diffs(spark, sf), ["key"], ["t"], "e", A.order_grid([1], [0], [0]), 12)
+    return fit.select("key", "n", F.round(F.col("coef")[0], 5).alias("ar1"), F.round("sse", 4).alias("sse"))
+
+
 CHOSEN = {"p": 1, "d": 1, "q": 1, "sp": 1, "sd": 0, "sq": 1}
 
 
+@query("ts12_multiplicative_fit")
+def ts12c(spark, sf):
+    """Parameters of the chosen order with their standard errors."""
+    names = F.array(*map(F.lit, ["ar1", "seasonal ar1", "ma1", "seasonal ma1"]))
+    fit = C.conditional_fits(log_monthly(spark, sf), ["key"], ["t"], "y", [{**CHOSEN, "order_id": 0}], 12)
+    each = F.inline(F.arrays_zip(names.alias("term"), F.col("coef").alias("estimate"), F.col("se").alias("error")))
+    return fit.filter("status = 'ok'").select("key", "n", "sse", each)
+
+
 @query("ts13_predictions")
 def ts13(spark, sf):
     return A.fit_and_predict(log_monthly(spark, sf), ["key"], ["t"], "y", CHOSEN, 9, 12)

@@ -7,7 +7,7 @@ from tallyrill.plans import QUERIES, TWINS
 
 FOLDER = "/root/testdata/sf0.001"
 # slow without a twin, and covered by tests of their operators
-HEAVY = {"ml14_grid_cross_validation", "ml16_cross_validated_score", "ml17_stepwise_tuning", "imp06_chained_forest"}
+HEAVY = {"ml14_grid_cross_validation", "ml16_cross_validated_score", "ml17_stepwise_tuning", "imp06_chained_forest", "ml14_grid_ledger", "ts10_multiplicative_orders"}
 
 
 @pytest.fixture(scope="module")

@@ -1,6 +1,7 @@
 """Hand-made frames for the rules on nulls, ties, rounding, order and casts."""
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -155,6 +156,24 @@ def test_text_tokens_and_lexicon(spark):
         X.vocabulary_presence(df, "t", vocab, 1)
 
 
+def test_vocabulary_hits_are_those_of_contains(spark):
+    rng = random.Random(4)
+    letters = "abcdé漢"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(400)]
+    texts = [" \t\n".join("".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(rng.randint(0, 40))) for _ in range(80)]
+    texts += [None, "", "   ", "ABC CD", "x" * 255 + "abcdé" + "y" * 300, "abc" * 900, "two  words here", "q" * 251 + words[0] + words[1]]
+    vocab = words + ["o  w", "two  words", "xabcdéy", "y" * 290]
+    df = spark.createDataFrame(list(enumerate(texts)), "d int, t string")
+    listed = spark.createDataFrame([(w,) for w in vocab + words[:50] + [None, ""]], "term string")
+    got = X.vocabulary_hits(df, "d", "t", listed, 500)
+    assert sorted(tuple(r) for r in got.collect()) == sorted({(i, w) for i, t in enumerate(texts) if t for w in vocab if w in t.lower()})
+    with pytest.raises(ValueError, match="more than 10 words"):
+        X.vocabulary_hits(df, "d", "t", listed, 10)
+    assert X.vocabulary_hits(df, "d", "t", listed.limit(0), 10).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+
+
 def test_category_drift_and_group_fill(spark):
     a = spark.createDataFrame([("x", 1), ("y", 2)], "c string, n int")
     b = spark.createDataFrame([("x", 1), ("z", 1)], "c string, n int")
