@@ -121,13 +121,13 @@ def vocabulary_hits(df: DataFrame, doc: str, text: str, vocabulary: DataFrame, s
         # a long token goes in pieces that overlap by the longest word
         starts = F.sequence(F.lit(0), F.expr(f"(length(__k) - 1) div {PIECE}"))
         pieces = tokens.select(doc, F.explode(F.transform(starts, lambda i: F.substring("__k", i * PIECE + 1, F.lit(PIECE + longest - 1)))).alias("__k"))
-        here = F.sequence(F.lit(1), F.length("__k"))
-
-        def cut(length: int) -> Column:
-            return F.transform(here, lambda i: F.struct(i.alias("at"), F.substring("__k", i, F.lit(length)).alias("g")))
-
-        parts = [cut(n) for n in firsts]
-        grams = pieces.select(doc, "__k", F.explode(F.concat(*parts)).alias("__p")).select(doc, "__k", "__p.at", "__p.g")
+        # plain columns, so that the rows stay in generated code
+        places = pieces.select(doc, "__k", F.explode(F.sequence(F.lit(1), F.length("__k"))).alias("at"))
+        if len(firsts) > 1:
+            places = places.select("*", F.explode(F.array(*map(F.lit, firsts))).alias("q"))
+        else:
+            places = places.withColumn("q", F.lit(firsts[0]))
+        grams = places.select(doc, "__k", "at", F.expr("substring(__k, at, q)").alias("g"))
         index = kinds.where("NOT spaced").select("term", "n", F.expr("substring(term, 1, first)").alias("g"))
         met = grams.join(F.broadcast(index), "g").where(F.expr("substring(__k, at, n)") == F.col("term"))
         found = met.select(doc, "term")
