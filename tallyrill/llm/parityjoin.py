@@ -5,7 +5,7 @@ symmetric difference of their sets, which a similarity of ``percent`` bounds by
 into bands; what can link lies in one band or in neighbouring ones, so each set is sketched for its own band
 and for the one below. A band's sketch has more blocks than differing bits are allowed, so at least one block
 of a linked pair is equal. A block is held as the exclusive or of the hashes of the bits set in it, which
-stands for a block of any width. Sets that share a block meet; a folded sketch of about one byte a shingle
+stands for a block of any width. Sets that share a block meet; a sketch of less than a byte for each shingle
 drops most of what differs, and the sets themselves decide.
 """
 
@@ -26,7 +26,9 @@ from tallyrill.llm.neardup import shingles
 
 BROADCAST_ROWS = 1_000_000  # ids and keys of 24 bytes
 SEEN = 500_000  # sets a task knows to be keyed already
-APART = 64  # rows of a bucket of several components beyond which its members meet by a second sketch
+APART = 8192  # rows of a bucket of several components beyond which its members meet by a second sketch
+STARS = 2  # rounds in which the nodes of a bucket meet one of them
+SHORT = 16  # words of the sketch that goes along with the rows of a bucket
 _GROUP, _BLOCK, _MIX = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
 
@@ -82,9 +84,9 @@ class Bands:
         return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
-    """Parity bits, eight to sixteen for each shingle; halves fold into the sketch of half the width."""
-    words = 1 << max(0, math.ceil(math.log2(max(1, len(found)) / 8)))
+def sketch(found: np.ndarray, words: int | None = None) -> np.ndarray:
+    """Parity bits, four to eight for each shingle if not in so many words; halves fold into the sketch of half the width."""
+    words = words or 1 << max(0, math.ceil(math.log2(max(1, len(found)) / 16)))
     bits = np.zeros(words, np.uint64)
     np.bitwise_xor.at(bits, (found >> np.uint64(6)) & np.uint64(words - 1), np.uint64(1) << (found & np.uint64(63)))
     return bits
@@ -118,8 +120,9 @@ def _sets(width: int):
             for part in range(0, batch.num_rows, 512):
                 some = batch.slice(part, 512)
                 sets = [shingles(t.as_py(), width) for t in some.column(1)]
-                columns = [pa.array([f(x).view(np.int64) for x in sets], pa.list_(pa.int64())) for f in (sketch, np.asarray)]
-                yield pa.RecordBatch.from_arrays([some.column(0), *columns], ["node", "sketch", "shingles"])
+                forms = (lambda x: sketch(x, SHORT), sketch, np.asarray)
+                columns = [pa.array([f(x).view(np.int64) for x in sets], pa.list_(pa.int64())) for f in forms]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(map(len, sets), pa.int64()), *columns], ["node", "n", "short", "sketch", "shingles"])
 
     return run
 
@@ -180,21 +183,32 @@ def _differing(a: Column, b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` of nodes ``a``, ``b`` whose sets are similar enough."""
-    own = sets.select("node", F.size("shingles").alias("n"), "sketch", "shingles")
-    left, right = (own.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in own.columns[1:])) for x in "ab")
+    """``pairs`` of nodes ``a``, ``b`` whose sets are similar enough; sketches go along with all, sets with few."""
+
+    def both(some: DataFrame, column: str) -> DataFrame:
+        for end in ("a", "b"):
+            some = some.join(sets.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col(column).alias(f"{column}_{end}")), end)
+        return some
+
     total = F.col("n_a") + F.col("n_b")
+    alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    differing = _differing(F.col("sketch_a"), F.col("sketch_b"))
+    near = both(pairs, "sketch").where(alike & (differing * (100 + percent) <= total * (100 - percent))).select("a", "b")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    both = pairs.join(left, "a").join(right, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    near = both.where(_differing(F.col("sketch_a"), F.col("sketch_b")) * (100 + percent) <= total * (100 - percent))
-    return near.where(100 * common >= percent * (total - common)).select("a", "b")
+    return both(near, "shingles").where(100 * common >= percent * (total - common)).select("a", "b")
 
 
-def _unpaired(rows: DataFrame) -> DataFrame:
-    """Pairs of nodes of one key that have different labels and weren't compared as centre and member."""
-    x, y = (rows.select("key", F.col("label").alias(f"l{s}"), F.col("node").alias(s), F.col("centre").alias(f"c{s}")) for s in "ab")
-    pairs = x.join(y, "key").where("la < lb AND a <> cb AND b <> ca")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _unpaired(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of one key that have different labels, weren't compared as centre and member, and may link by their short sketches."""
+    own = rows.join(sets.select("node", "n", "short"), "node")
+    x, y = (own.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("label", "node", "centre", "n", "short"))) for s in "ab")
+    differing = sum((F.bit_count(F.get("short_a", F.lit(i)).bitwiseXOR(F.get("short_b", F.lit(i)))) for i in range(SHORT)), F.lit(0))
+    total = F.col("n_a") + F.col("n_b")
+    may = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (differing * (100 + percent) <= total * (100 - percent))
+    # part of the join, so that what can't link is never a row
+    fresh = (F.col("label_a") < F.col("label_b")) & (F.col("node_a") != F.col("centre_b")) & (F.col("node_b") != F.col("centre_a"))
+    met = x.withColumnRenamed("key", "k").join(y, (F.col("k") == F.col("key")) & fresh & may)
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -219,19 +233,33 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     first = found.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
     first = staged(first.select("node", F.col("d.doc_id").alias("i"), F.col("d.text_key").alias("k")), "nodes")
     held = own.join(F.broadcast(first) if first.count() <= BROADCAST_ROWS else first, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")))
-    kept = held.select("node", "text").mapInArrow(_sets(width), "node long, sketch array<long>, shingles array<long>")
+    kept = held.select("node", "text").mapInArrow(_sets(width), "node long, n long, short array<long>, sketch array<long>, shingles array<long>")
     sets = staged(kept.dropDuplicates(["node"]), "sets")
     links = staged(_verified(stars, sets, percent), "links")
     labels = components(links)
-    # what stays apart within a bucket
-    named = met.join(shared, "key", "left_semi").join(labels, "node", "left").select("key", "node", "centre", F.coalesce("label", "node").alias("label"))
-    parts = named.groupBy("key", "label").agg(F.count("*").alias("rows")).groupBy("key").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"))
-    open_ = staged(named.join(parts.where("parts > 1 AND rows > 2"), "key"), "open")
+    kept_apart = met.join(shared, "key", "left_semi")
+
+    def apart(labels: DataFrame) -> DataFrame:
+        """The rows of buckets whose nodes lie in several components."""
+        named = kept_apart.join(labels, "node", "left").select("key", "node", "centre", F.coalesce("label", "node").alias("label"))
+        parts = named.groupBy("key", "label").agg(F.count("*").alias("rows")).groupBy("key").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"))
+        return staged(named.join(parts.where("parts > 1 AND rows > 2"), "key"), "open")
+
+    # all of such a bucket meet another of its nodes, then only what is still apart is paired
+    open_ = apart(labels)
+    for turn in range(STARS):
+        if open_.isEmpty():
+            break
+        middle = open_.groupBy("key").agg(F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("m"))
+        stars = open_.join(middle, "key").where("label <> m.label").select(F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b")).distinct()
+        links = staged(links.unionByName(_verified(stars, sets, percent)), "links")
+        labels = components(links)
+        open_ = apart(labels)
     if not open_.isEmpty():
         large = open_.where(F.col("rows") > APART)
         told = staged(large.join(sets, "node").select("key", "node", "shingles").mapInArrow(_refined(bands), "key long, node long").distinct(), "refined")
         told = told.join(large.select("node", "label").distinct(), "node").withColumn("centre", F.lit(0).cast("long"))
-        pairs = _unpaired(open_.where(F.col("rows") <= APART)).unionByName(_unpaired(told)).distinct()
+        pairs = _unpaired(open_.where(F.col("rows") <= APART), sets, percent).unionByName(_unpaired(told, sets, percent)).distinct()
         links = staged(links.unionByName(_verified(pairs, sets, percent)), "links")
         labels = components(links)
     named = found.select("doc_id", "text_key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
