@@ -140,6 +140,30 @@ def test_similarity_and_prediction(spark):
     assert [t["itemid"] for t in top] == [5]
 
 
+def test_similarity_sums_pairs_where_they_are_made(spark):
+    """Blocks and parts of any size give the same rows, and no pair of users is dealt anew."""
+    rng = random.Random(3)
+    made = [(rng.randrange(12), rng.randrange(6), rng.choice([1.0, 2.5, 4.0, None])) for _ in range(90)]
+    made += [(None, 1, 2.0), (3, None, 2.0), (None, None, 1.0), (3, 1, 4.0), (3, 1, 4.0)]
+    r = spark.createDataFrame(made, "userid bigint, itemid bigint, rating double")
+    asked = spark.createDataFrame([(1,), (3,), (3,), (5,), (None,), (99,)], "userid bigint")
+    want = {}
+    for a, i, x in made:
+        for b, j, y in made:
+            if a in (1, 3, 5) and b is not None and a != b and i is not None and i == j:
+                want.setdefault((a, b), []).append((x, y))
+    for active_rows, pair_rows in ((200_000, 1_000_000), (10, 40)):
+        got = RC.similarity(r, asked, active_rows, pair_rows)
+        assert "hashpartitioning(active" not in got._jdf.queryExecution().executedPlan().toString()
+        found = {(s["active"], s["neighbour"]): (s["shared"], s["sim"]) for s in got.collect()}
+        assert {k: v[0] for k, v in found.items()} == {k: len(v) for k, v in want.items()}
+        for key, pairs in want.items():
+            both = np.array([p for p in pairs if None not in p]).reshape(-1, 2)
+            flat = len(pairs) < 2 or not len(both) or (both.std(0) == 0).any()
+            assert abs(found[key][1] - (0 if flat else np.corrcoef(both.T)[0, 1])) < 1e-8
+    assert RC.similarity(r.limit(0), asked).isEmpty()
+
+
 def test_text_tokens_and_lexicon(spark):
     df = spark.createDataFrame([(1, "RT @bob Great day!! http://x.y/z #fun isn't"), (2, "bad Bad day"), (3, "")], "d int, t string")
     assert df.select(X.tweet_tokens("t")).first()[0] == ["rt", "@bob", "great", "day", "!", "!", "http://x.y/z", "#fun", "isn't"]
