@@ -1,7 +1,7 @@
 """Matrix factors by stochastic gradient steps over strata of user blocks and item blocks.
 
 Users and items are dealt to ``blocks`` blocks each. In a round, user block b meets item block b + round, so no
-two tasks share a row of either side, and each walks its ratings one after another in a fixed order. After as many
+two tasks share a row of either side, and each walks its ratings in a fixed order, those that share no row at once. After as many
 rounds as blocks every rating has been used once: an epoch. Factors are staged after each round.
 """
 
@@ -41,13 +41,39 @@ def dot(a: str, b: str):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+FEW = 4  # ratings of a wave from which on arrays are faster than steps one by one
+
+
+def waves(users: np.ndarray, items: np.ndarray) -> list[np.ndarray]:
+    """Places of the ratings in waves: each rating is in the first wave after all earlier ones of its user or its item.
+
+    So no two ratings of a wave share a user or an item, and taking wave after wave gives each step the
+    rows that it would find one after another.
+    """
+    of_user, of_item = [0] * (int(users.max(initial=-1)) + 1), [0] * (int(items.max(initial=-1)) + 1)
+    wave = np.empty(len(users), np.int32)
+    for k, (u, i) in enumerate(zip(users.tolist(), items.tolist(), strict=True)):
+        a, b = of_user[u], of_item[i]
+        of_user[u] = of_item[i] = wave[k] = (a if a > b else b) + 1
+    order = np.argsort(wave, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(wave[order])) + 1) if len(order) else []
+
+
 def walked(users: np.ndarray, items: np.ndarray, ratings: np.ndarray, p: np.ndarray, q: np.ndarray, rate: float, penalty: float) -> None:
-    """One gradient step for each rating in turn; ``p`` and ``q`` are changed in place."""
-    for u, i, r in zip(users, items, ratings, strict=True):
-        a, b = p[u].copy(), q[i]
-        e = 2.0 * (r - a @ b)
-        p[u] += rate * (e * b - penalty * a)
-        q[i] += rate * (e * a - penalty * b)
+    """One gradient step for each rating in turn, whole waves at a time; ``p`` and ``q`` are changed in place."""
+    for at in waves(users, items):
+        if len(at) < FEW:
+            for u, i, r in zip(users[at], items[at], ratings[at], strict=True):
+                a, b = p[u].copy(), q[i]
+                e = 2.0 * (r - a @ b)
+                p[u] += rate * (e * b - penalty * a)
+                q[i] += rate * (e * a - penalty * b)
+            continue
+        u, i = users[at], items[at]
+        a, b = p[u], q[i]
+        e = 2.0 * (ratings[at] - (a * b).sum(axis=1))[:, None]
+        p[u] = a + rate * (e * b - penalty * a)
+        q[i] = b + rate * (e * a - penalty * b)
 
 
 def _round(rate: float, penalty: float):
@@ -55,10 +81,13 @@ def _round(rate: float, penalty: float):
         if not len(rated):
             return factors[["kind", "id", "block", "v"]]
         own = {k: factors[factors["kind"] == k].reset_index(drop=True) for k in ("user", "item")}
-        at = {k: pd.Series(np.arange(len(f)), index=f["id"]) for k, f in own.items()}
         p, q = (np.stack(own[k]["v"].to_numpy()).astype(float) for k in ("user", "item"))
-        rated = rated.sort_values(["h", "userid", "itemid"])
-        walked(at["user"][rated["userid"]].to_numpy(), at["item"][rated["itemid"]].to_numpy(), rated["rating"].to_numpy(), p, q, rate, penalty)
+        h = rated["h"].to_numpy()
+        order = np.argsort(h, kind="stable")
+        if (np.diff(h[order]) == 0).any():
+            order = np.lexsort((rated["itemid"].to_numpy(), rated["userid"].to_numpy(), h))
+        users, items = (pd.Index(own[k]["id"]).get_indexer(rated[f"{k}id"])[order] for k in ("user", "item"))
+        walked(users, items, rated["rating"].to_numpy()[order], p, q, rate, penalty)
         return pd.concat([own["user"].assign(v=list(p)), own["item"].assign(v=list(q))])[["kind", "id", "block", "v"]]
 
     return run
@@ -90,7 +119,7 @@ def factorise_by_strata(
         return Factors(table, errors, "no ratings")
     for _ in range(epochs):
         for turn in range(blocks):
-            met = rated.where(F.col("ib") == F.pmod(F.col("ub") + turn, F.lit(blocks))).withColumn("task", F.col("ub"))
+            met = rated.where(F.col("ib") == F.pmod(F.col("ub") + turn, F.lit(blocks))).select(F.col("ub").alias("task"), "userid", "itemid", "rating", "h")
             own = F.when(F.col("kind") == "user", F.col("block")).otherwise(F.pmod(F.col("block") - turn, F.lit(blocks)))
             table = stage(met.groupBy("task").cogroup(table.withColumn("task", own).groupBy("task")).applyInPandas(_round(rate, penalty), FACTORS), "factors")
         made = Factors(table, errors, stopped)

@@ -100,3 +100,21 @@ def test_stop_rule_and_odd_tables(spark):
     wild = spark.createDataFrame([(u, i, 5.0) for u in range(6) for i in range(6)], "userid bigint, itemid bigint, rating double")
     with pytest.raises(RuntimeError, match="smaller rate"):
         SG.factorise_by_strata(wild, blocks=1, rate=50.0, epochs=20)
+
+
+def test_waves_share_no_row_and_keep_the_order():
+    rng = np.random.default_rng(4)
+    users, items, ratings = rng.integers(0, 300, 5000), rng.integers(0, 40, 5000), rng.normal(size=5000)
+    p, q = rng.random((300, 3)), rng.random((40, 3))
+    found = SG.waves(users, items)
+    assert sorted(np.concatenate(found)) == list(range(5000)) and len(found) < 1500
+    for at in found:
+        assert len(set(users[at])) == len(set(items[at])) == len(at)
+    a, b = p.copy(), q.copy()
+    for u, i, r in zip(users, items, ratings, strict=True):
+        x, e = a[u].copy(), 2.0 * (r - a[u] @ b[i])
+        a[u] += 0.01 * (e * b[i] - 0.02 * x)
+        b[i] += 0.01 * (e * x - 0.02 * b[i])
+    SG.walked(users, items, ratings, p, q, 0.01, 0.02)
+    assert np.allclose(a, p, rtol=0, atol=1e-12) and np.allclose(b, q, rtol=0, atol=1e-12)
+    assert SG.waves(users[:0], items[:0]) == []
