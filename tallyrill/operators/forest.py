@@ -96,14 +96,16 @@ def fit_bagged(
     of one of so many orders of all rows; 0 leaves importance out. Trees are fitted ``parallelism`` at a time. What comes to
     the driver is the trees and a number for each tree and feature.
     """
-    base = stage(rows.select(F.col(key), F.col(features).alias("features"), F.col(label).cast("double").alias("label")), "bagged")
+    # all draws of a row are made once; the passes of a fit read them
+    bags = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: bag_weight(key, tree, seed).cast("tinyint"))
+    base = stage(rows.select(F.col(key), F.col(features).alias("features"), F.col(label).cast("double").alias("label"), bags.alias("__bags")), "bagged")
     given = with_donors(base, key, "features", shuffles, seed) if shuffles else base
     spark, path = rows.sparkSession, owned_path(rows.sparkSession, "votes")
 
     def one(tree: int) -> tuple[Model, list[tuple]]:
         learner = RandomForestClassifier(numTrees=1, bootstrap=False, subsamplingRate=1.0, maxDepth=depth, featureSubsetStrategy=subset, weightCol="bag", seed=seed + tree)
-        weight = bag_weight(key, tree, seed)
-        model = learner.fit(base.withColumn("bag", weight).filter("bag > 0"))
+        weight = F.get("__bags", F.lit(tree))
+        model = learner.fit(base.select("features", "label", weight.cast("double").alias("bag")).filter("bag > 0"))
         outside = given.filter(weight == 0)
         # a folder for each tree: fits that run side by side don't share one
         model.transform(outside).select(key, "label", "prediction").write.parquet(f"{path}/tree={tree}")

@@ -71,3 +71,12 @@ def test_donors_are_rows_of_the_table(spark, planted):
     for i in range(2):
         assert sorted(tuple(r["donors"][i]) for r in out) == own
         assert sum(tuple(r["donors"][i]) == tuple(r["features"]) for r in out) < 10
+
+
+def test_draws_are_made_once_for_all_trees(spark, planted, monkeypatch):
+    made, plain = [], forest.bag_weight
+    monkeypatch.setattr(forest, "bag_weight", lambda *a: made.append(a) or plain(*a))
+    got = forest.fit_bagged(planted.filter("id < 400"), "id", trees=3, depth=2, subset="all", shuffles=0)
+    assert len(made) == 1
+    want = planted.filter("id < 400").select("id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("tree")).filter(plain("id", F.col("tree")) == 0)
+    assert got.votes.select("id", "tree").exceptAll(want).isEmpty() and want.exceptAll(got.votes.select("id", "tree")).isEmpty()
