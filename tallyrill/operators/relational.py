@@ -84,22 +84,6 @@ def join_back(
     return null_safe_join(spread.drop("__salts"), each, [*keys, "__salt"], "inner").drop("__salt")
 
 
-def spread_join(many: DataFrame, few: DataFrame, key: str, share: float = 1e-4) -> DataFrame:
-    """Inner join in which a key that ``many`` has very often goes over several tasks.
-
-    Such a key gets one salt for each ``share`` of all rows of ``many``; the rows of ``few`` are repeated
-    per salt. At most 1 / share keys have more than one salt, so their table is broadcast. Null keys meet nothing.
-    """
-    sizes = many.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    total = sizes.agg(F.sum("__rows")).scalar()
-    salts = F.ceil(F.col("__rows") / (total * share)).cast("int")
-    hot = F.broadcast(sizes.select(key, salts.alias("__salts")).filter("__salts > 1"))
-    last = F.coalesce(F.col("__salts"), F.lit(1)) - 1
-    spread = many.join(hot, key, "left").withColumn("__salt", F.pmod(F.monotonically_increasing_id(), last + 1).cast("int")).drop("__salts")
-    each = few.join(hot, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), last))).drop("__salts")
-    return spread.join(each, [key, "__salt"]).drop("__salt")
-
-
 def keep_members(df: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return df.join(members, on, "left_semi")
 
