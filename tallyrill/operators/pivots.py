@@ -133,7 +133,7 @@ class PivotCells:
         def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 q, bound = _matrix(batch["v"], width), batch["bound"].to_numpy()
-                for some in _pieces(len(q), 4 * len(cell)):
+                for some in _pieces(len(q), 4 * int(parts.sum())):
                     d = _distances(q[some], pivots)
                     rough = SLACK * (np.sqrt((q[some] ** 2).sum(1)) + largest)[:, None]
                     own = d.argmin(axis=1)
@@ -146,9 +146,11 @@ class PivotCells:
                     seen = np.zeros(least.shape, bool)
                     np.put_along_axis(seen, order, before < k, axis=1)
                     a, r = np.nonzero(seen if first else ~seen & (least <= bound[some][:, None] + rough))
-                    rows = batch.iloc[some].iloc[np.repeat(a, parts[r])]
                     part = np.concatenate([np.arange(p) for p in parts[r]]) if len(r) else np.zeros(0, int)
-                    yield rows.assign(at=np.repeat(number[r], parts[r]).astype(np.int32), part=part.astype(np.int32))
+                    a, r = np.repeat(a, parts[r]), np.repeat(r, parts[r])
+                    # each visit has its query's vector, so a few go out at a time
+                    for few in _pieces(len(a), width):
+                        yield batch.iloc[some].iloc[a[few]].assign(at=number[r[few]].astype(np.int32), part=part[few].astype(np.int32))
 
         return queries.mapInPandas(route, "query_id bigint, v array<double>, bound double, at int, part int")
 

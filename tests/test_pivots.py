@@ -1,10 +1,11 @@
 """Exact neighbours by pivot cells against all pairs, and how many pairs they compare."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallyrill.operators import neighbors as N
-from tallyrill.operators.pivots import PivotCells
+from tallyrill.operators.pivots import CELLS, PivotCells
 
 TRAIN, ASKED = "train_id bigint, label double, v array<double>", "query_id bigint, v array<double>"
 
@@ -56,3 +57,21 @@ def test_few_rows_and_missing_vectors(spark):
     train = spark.createDataFrame([(5, 1.0, [3.0, 4.0]), (6, None, [0.0, 1.0]), (7, 0.0, None)], TRAIN)
     assert sorted((r.query_id, r.train_id, r.label, r.distance) for r in N.nearest(train, asked, 3).collect()) == [(1, 5, 1.0, 5.0), (1, 6, None, 1.0)]
     assert N.nearest(train, asked.where("query_id = 9"), 3).count() == 0
+
+
+def test_visits_go_out_in_bounded_frames(spark):
+    """A query that sees thousands of rings has its vector in each visit."""
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(3000, 32)), rng.normal(size=(300, 32))
+    cells = PivotCells(tables(spark, x, q)[0], cell_rows=2)
+
+    class Local:
+        def mapInPandas(self, run, kind):  # noqa: N802
+            frame = pd.DataFrame({"query_id": np.arange(300), "v": list(q), "bound": np.full(300, np.inf)})
+            return list(run(iter([frame])))
+
+    frames = cells._visits(Local(), 1, False)
+    seen = pd.concat(frames)
+    assert len(cells.rings) > 1000 and len(seen) == 300 * (len(cells.rings) - 1)
+    assert not seen.duplicated(["query_id", "at", "part"]).any()
+    assert max(map(len, frames)) * 32 <= CELLS
