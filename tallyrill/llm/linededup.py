@@ -27,7 +27,7 @@ def budget(length: str, chars_per_edit: int, max_edits: int) -> str:
 def _segments(edits: int) -> str:
     """SQL text: hashes of the ``edits + 1`` segments of ``line`` of ``n`` characters, keyed by length and number."""
     parts = edits + 1
-    return f"transform(sequence(0, {edits}), s -> xxhash64(n, s, substring(line, s * n div {parts} + 1, (s + 1) * n div {parts} - s * n div {parts})))"
+    return "array(" + ", ".join(f"xxhash64(n, {s}, substring(line, {s} * n div {parts} + 1, {s + 1} * n div {parts} - {s} * n div {parts}))" for s in range(parts)) + ")"
 
 
 def _probes(edits: int) -> list[tuple[int, str]]:
@@ -51,8 +51,16 @@ LETTERS = "etnaorishdlucmpg"
 
 
 def _letters() -> str:
-    """SQL text: how often ``line`` of ``n`` characters has each of sixteen frequent letters, modulo 16, four bits each."""
-    return " | ".join(f"shiftleft(CAST((n - char_length(replace(line, '{c}', ''))) & 15 AS BIGINT), {4 * i})" for i, c in enumerate(LETTERS))
+    """SQL text: how often ``line`` has each of sixteen frequent letters, modulo 16, four bits each.
+
+    A letter is counted in what the ones before it leave, which gets shorter; each is one byte.
+    """
+    rest, counts = "line", []
+    for i, c in enumerate(LETTERS):
+        left = f"replace({rest}, '{c}', '')"
+        counts.append(f"shiftleft(CAST((octet_length({rest}) - octet_length({left})) & 15 AS BIGINT), {4 * i})")
+        rest = left
+    return " | ".join(counts)
 
 
 def _unlike(a: str, b: str) -> str:
@@ -116,7 +124,10 @@ def edit_distance(pairs: DataFrame, max_edits: int, chars_per_edit: int) -> Data
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text_key``, ``line_no`` (from 0) and ``line``, trimmed; blank lines and null texts have no rows."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    return own.select("doc_id", "text_key", "line_no", F.expr("trim(BOTH ' \\t\\r' FROM line)").alias("line")).where("line <> ''")
+    # trimming maps out a whole line, so only those are trimmed that need it
+    ends = " OR ".join(f"{side}(line, '{c}')" for side in ("startswith", "endswith") for c in (" ", "\\t", "\\r"))
+    trimmed = F.expr(f"IF({ends}, trim(BOTH ' \\t\\r' FROM line), line)")
+    return own.select("doc_id", "text_key", "line_no", trimmed.alias("line")).where("line <> ''")
 
 
 def edit_join(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 30) -> DataFrame:
@@ -125,16 +136,23 @@ def edit_join(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 30) ->
     A pair may differ by one edit for each ``chars_per_edit`` characters of the shorter line, ``max_edits`` at
     most; shorter lines than that have no links. Equal lines are one line.
     """
-    distinct = lines.select("line", F.char_length("line").alias("n")).where(f"n >= {chars_per_edit}").groupBy("line", "n").agg(F.lit(1))
-    own = distinct.select(F.xxhash64("line").alias("id"), "line", "n", F.expr(_letters()).alias("letters"))
+    long = lines.select("line", F.char_length("line").alias("n")).where(f"n >= {chars_per_edit}")
+    # letters go through the exchange, since index and probes are made from it in turn
+    distinct = long.select("line", "n", F.expr(_letters()).alias("letters")).groupBy("line", "n", "letters").agg(F.lit(1))
+    own = distinct.select(F.xxhash64("line").alias("id"), "line", "n", "letters")
     indexed = F.coalesce(*[F.when(F.expr(budget("n", chars_per_edit, max_edits)) == e, F.expr(_segments(e))) for e in range(1, max_edits + 1)])
-    # a probe counts if a line of that length has that many edits
-    probes = F.array_compact(F.array(*[
-        F.when(F.expr(f"{budget(f'(n - {longer})', chars_per_edit, max_edits)} = {e}"), F.expr(p))
-        for e in range(1, max_edits + 1) for longer, p in _probes(e)
-    ]))
+
+    def probes(line: str) -> Column:
+        # a probe counts if a line of that length has that many edits
+        return F.array_compact(F.array(*[
+            F.when(F.expr(f"{budget(f'(n - {longer})', chars_per_edit, max_edits)} = {e}"), F.expr(p.replace("substring(line", f"substring({line}")))
+            for e in range(1, max_edits + 1) for longer, p in _probes(e)
+        ]))
+
+    # where a character is a byte, a place in a line is found without counting up to it
+    looked = F.when(F.expr("octet_length(line) = n"), probes("CAST(line AS BINARY)")).otherwise(probes("line"))
     index = own.select(F.col("id").alias("a"), F.col("letters").alias("la"), F.explode(indexed).alias("segment"))
-    probe = own.select(F.col("id").alias("b"), F.col("letters").alias("lb"), F.explode(probes).alias("segment"))
+    probe = own.select(F.col("id").alias("b"), F.col("letters").alias("lb"), F.explode(looked).alias("segment"))
     # lines that share a segment but too few letters aren't even paired
     met = index.join(probe, "segment").where("a <> b").where(f"{_unlike('la', 'lb')} <= {2 * max_edits}").select("a", "b").distinct()
     met = staged(met, "met")

@@ -107,6 +107,40 @@ def test_line_copies_of_odd_rows(spark):
     assert sorted(kept, key=str) == sorted([(5, "one line of text"), (5, "one line of text"), (5, "another line"), (-3, None)], key=str)
 
 
+def test_letters_of_a_line_are_counted_once(spark, monkeypatch):
+    """Counting is the dearest step: index and probes take it from the exchange that both read."""
+    lines = ["", "e", "ééé tea 漢 " * 9, "tattletale " * 40, prose(random.Random(8), 30), "E.T."]
+    got = docs(spark, lines).selectExpr("doc_id", f"{linededup._letters().replace('line', 'text')} AS x").collect()
+    want = {i: sum((t.count(c) & 15) << 4 * k for k, c in enumerate(linededup.LETTERS)) for i, t in enumerate(lines)}
+    assert {r.doc_id: r.x % (1 << 64) for r in got} == want
+    plans, staged = {}, linededup.staged
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(linededup, "staged", kept)
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", 10)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        linededup.edit_join(linededup.lines_of(docs(spark, [*lines, lines[4] + "x"]))).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum("replace(" in row for row in plans["met"].split("\n")) == 1
+
+
+def test_line_ends_and_places_in_wide_characters(spark):
+    """Trimmed at both ends whatever stands there; segments are found in lines of one and of several bytes a character."""
+    rng = random.Random(17)
+    base = [prose(rng, 14) for _ in range(6)]
+    wide = [x.replace("t", "漢").replace("o", "é") for x in base]
+    texts = []
+    for x in base + wide:
+        texts += [x, f" \t{x}", f"{x}\r", changed(rng, x, 1), changed(rng, x, 2), f"\r {changed(rng, x, 1)}\t \r"]
+    found = linededup.classes(docs(spark, texts)).collect()
+    assert {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.n_links, r.kept) for r in found} == plain_classes(texts)
+
+
 def test_fingerprints(spark):
     rng = random.Random(31)
     texts = [None, "", " ", "one", "One", "漢字 text", prose(rng, 4), prose(rng, 40), prose(rng, 400), prose(rng, 3000)] + [prose(rng, 120) for _ in range(30)] + ["same words in this text", "same words in this text"]
