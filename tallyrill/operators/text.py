@@ -117,18 +117,19 @@ def vocabulary_hits(df: DataFrame, doc: str, text: str, vocabulary: DataFrame, s
     docs = df.select(doc, F.lower(F.col(text)).alias("__t"))
     found = docs.where(F.lit(False)).select(doc, F.lit("").alias("term"))
     if firsts:
-        tokens = docs.select(doc, F.explode(F.array_distinct(F.split("__t", r"\s+"))).alias("__k")).where("__k <> ''")
-        # a long token goes in pieces that overlap by the longest word
-        starts = F.sequence(F.lit(0), F.expr(f"(length(__k) - 1) div {PIECE}"))
-        pieces = tokens.select(doc, F.explode(F.transform(starts, lambda i: F.substring("__k", i * PIECE + 1, F.lit(PIECE + longest - 1)))).alias("__k"))
-        # plain columns, so that the rows stay in generated code
-        places = pieces.select(doc, "__k", F.explode(F.sequence(F.lit(1), F.length("__k"))).alias("at"))
+        tokens = docs.select(doc, F.explode(F.array_distinct(F.split("__t", r"\s+"))).alias("__k")).where(f"length(__k) >= {firsts[0]}")
+        # a long token goes in pieces that overlap by the longest word; here too without functions over arrays
+        starts = tokens.select(doc, "__k", F.explode(F.expr(f"sequence(0, (length(__k) - 1) div {PIECE})")).alias("__p"))
+        pieces = starts.select(doc, F.expr(f"IF(length(__k) <= {PIECE}, __k, substring(__k, CAST(__p * {PIECE} + 1 AS INT), {PIECE + longest - 1}))").alias("__k"))
+        # plain columns, so that the rows stay in generated code; no word starts where fewer characters are left
+        places = pieces.where(f"length(__k) >= {firsts[0]}").select(doc, "__k", F.explode(F.sequence(F.lit(1), F.length("__k") - (firsts[0] - 1))).alias("at"))
         if len(firsts) > 1:
             places = places.select("*", F.explode(F.array(*map(F.lit, firsts))).alias("q"))
         else:
             places = places.withColumn("q", F.lit(firsts[0]))
-        grams = places.select(doc, "__k", "at", F.expr("substring(__k, at, q)").alias("g"))
-        index = kinds.where("NOT spaced").select("term", "n", F.expr("substring(term, 1, first)").alias("g"))
+        # numbers are looked up faster than text; the word itself is compared after
+        grams = places.select(doc, "__k", "at", F.expr("xxhash64(substring(__k, at, q))").alias("g"))
+        index = kinds.where("NOT spaced").select("term", "n", F.expr("xxhash64(substring(term, 1, first))").alias("g"))
         met = grams.join(F.broadcast(index), "g").where(F.expr("substring(__k, at, n)") == F.col("term"))
         found = met.select(doc, "term")
     for term in spaced:

@@ -224,3 +224,17 @@ def test_join_back_spreads_a_hot_key(spark, shuffles):
     joined = R.join_back(df, df.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"], "n", share=0.01)
     sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in sizes) == 20_000 and max(r["count"] for r in sizes) < 6_000
+
+
+def test_vocabulary_hits_stay_in_plain_columns(spark):
+    """Places are made in generated code, and none where too few characters are left; long tokens are cut anywhere."""
+    words = ["abc", "bcd", "cabca", "zzz", "é漢é", "x y", "abcabcabcabc"]
+    texts = [None, "", "ab", "abc", "ABC bcd", "x y", "xx yy", "é漢é漢", "zz z"]
+    texts += ["q" * n + tail for n in (250, 253, 255, 256, 257, 262, 266, 511, 512, 600) for tail in ("abc", "cabca", "abcabcabcabc", "é漢é")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    vocabulary = spark.createDataFrame([(w,) for w in words], "term string")
+    hits = X.vocabulary_hits(docs, "doc_id", "text", vocabulary, 10)
+    assert {tuple(r) for r in hits.collect()} == {(i, w) for i, t in enumerate(texts) for w in words if w in (t or "").lower()}
+    assert "lambdafunction" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    few = X.vocabulary_hits(docs, "doc_id", "text", vocabulary.union(spark.createDataFrame([("b",), ("zz",)], "term string")), 10)
+    assert {tuple(r) for r in few.collect()} == {(i, w) for i, t in enumerate(texts) for w in [*words, "b", "zz"] if w in (t or "").lower()}
