@@ -1,9 +1,14 @@
-"""Near-copy documents by the Jaccard similarity of their word shingles.
+"""Near-copy documents by SimHash fingerprints of their word shingles, verified by Jaccard similarity.
 
-Candidates share one of ``BANDS`` bands of ``ROWS`` min-hashes; at a similarity of 0.8 a pair shares none with
-probability 5e-8. Every link is verified on the whole sets. Equal sets are one node. In a bucket all are
-compared with its least node first; then whatever of a bucket is still in different components is compared,
-so that pairs which links join already are never made.
+Equal sets of shingles are one node. Nodes whose fingerprints link at ``RADIUS`` or fewer bits form groups
+(``simhash.forest``), and each node meets the first of its group. A similarity of 0.8 can lie further off than
+any exact radius reaches, so nodes that share one of ``BANDS`` bands of ``ROWS`` min-hashes meet too: first the
+least node of the bucket, then, where a bucket still holds different components, all of them by their bit-sliced
+fingerprints within ``WIDE`` bits. Every link is verified on the whole sets, the latter ones in the tasks that meet
+the bucket, so only a spanning forest of links leaves them and never their pairs.
+
+At a similarity of 0.8 a pair shares no band with probability 5e-8. A bit of the fingerprints differs with a
+probability of 0.15 (0.19 for sets of four and five shingles), so more than ``WIDE`` do with 1e-8 (1e-6).
 """
 
 from __future__ import annotations
@@ -16,13 +21,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrill.llm.base import staged, texts
+from tallyrill.llm import simhash
+from tallyrill.llm.base import grouped_batches, staged, texts
 from tallyrill.llm.components import components
 from tallyrill.llm.suffixes import MEMO, grams
 from tallyrill.operators.relational import join_back
 
 BANDS, ROWS = 32, 4
+RADIUS, WIDE = 3, 28  # bits of 64
 BROADCAST_ROWS = 1_000_000  # ids and keys of 24 bytes
+CHUNK, SHINGLES = 512, 1 << 20  # nodes, and shingles, of a bucket that one side of a comparison holds
+SKETCH = 2048  # bits
 BLOCK = 1024  # shingles that meet all min-hashes at a time
 _rng = np.random.default_rng(5)
 _XOR, _TIMES = (_rng.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) for _ in range(2))
@@ -66,8 +75,9 @@ def _keyed(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py(), width) for t in batch.column(2)]
-            columns = [pa.array(map(_signed, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_key", "node", "n", "bands"])
+            fps = pa.array(np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64))
+            columns = [pa.array(map(_signed, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), fps, pa.array(map(bands, sets), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_key", "node", "n", "fp", "bands"])
 
     return run
 
@@ -90,6 +100,82 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     return both.where(common >= share * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _sketches(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each set the parities of how many of its hashes end in each of ``SKETCH`` numbers, as words.
+
+    Two sets differ in no fewer hashes than their sketches in bits.
+    """
+    rows = len(offsets) - 1
+    out = np.zeros((rows, SKETCH // 64), np.uint64)
+    for at in range(0, rows, 256):
+        to = min(at + 256, rows)
+        own = np.repeat(np.arange(to - at), np.diff(offsets[at : to + 1])) * SKETCH + (values[offsets[at] : offsets[to]] & (SKETCH - 1))
+        odd = (np.bincount(own, minlength=(to - at) * SKETCH) & 1).astype(np.uint8)
+        out[at:to] = np.packbits(odd, bitorder="little").view(np.uint64).reshape(to - at, -1)
+    return out
+
+
+def _linked(share: float):
+    """Verified links that join the labels of each bucket, from its fingerprints within ``WIDE`` bits."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped_batches(batches, ["key", "x", "y"]):
+            column = {k: table[k].to_numpy() for k in ("key", "x", "y", "c", "label", "node", "fp")}
+            lists = table["shingles"].combine_chunks()
+            offsets, values = np.asarray(lists.offsets).astype(np.int64), lists.values.to_numpy()
+            sizes = np.diff(offsets)
+            new = np.ones(len(sizes), bool)
+            new[1:] = np.any([column[k][1:] != column[k][:-1] for k in ("key", "x", "y")], axis=0)
+            begins = new.copy()
+            begins[1:] |= column["label"][1:] != column["label"][:-1]
+            # rows are sorted by label, so a label's first row stands for it
+            root = np.maximum.accumulate(np.where(begins, np.arange(len(sizes)), 0))
+            sketch = _sketches(values, offsets)
+            alone = column["x"] == column["y"]
+
+            def least(i: int, root: np.ndarray = root) -> int:
+                while root[i] != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                return i
+
+            found = []
+            for one, two in simhash.links(column["fp"].view(np.uint64), new.cumsum() - 1, WIDE):
+                for at in range(0, len(one), 1 << 15):
+                    a, b = one[at : at + (1 << 15)], two[at : at + (1 << 15)]
+                    meet = (root[a] != root[b]) & (alone[a] | (column["c"][a] != column["c"][b]))
+                    meet &= np.minimum(sizes[a], sizes[b]) >= share * np.maximum(sizes[a], sizes[b])
+                    a, b = a[meet], b[meet]
+                    # sets of that share differ in no more hashes
+                    near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64) <= (1 - share) / (1 + share) * (sizes[a] + sizes[b]) + 1e-6
+                    for i, j in zip(a[near].tolist(), b[near].tolist(), strict=True):
+                        if (x := least(i)) != (y := least(j)):
+                            common = len(np.intersect1d(values[offsets[i] : offsets[i + 1]], values[offsets[j] : offsets[j + 1]], assume_unique=True))
+                            if common >= share * (sizes[i] + sizes[j] - common):
+                                root[max(x, y)] = min(x, y)
+                                found.append((i, j))
+            ends = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(column["node"][ends[:, 0]]), pa.array(column["node"][ends[:, 1]])], ["a", "b"])
+
+    return run
+
+
+def by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """``a``, ``n_a``, ``b``, ``n_b``: the first node of each group of fingerprints within ``RADIUS`` bits, and the others.
+
+    ``nodes`` has ``node``, ``n`` and ``fp``.
+    """
+    own = F.struct("node", "n")
+    distinct = staged(nodes.groupBy("fp").agg(F.min(own).alias("least"), F.count("*").alias("rows")), "fingerprints")
+    labels = components(simhash.forest(distinct.select("fp"), RADIUS))
+    # only groups; a fingerprint alone with its node has none
+    named = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").where("label IS NOT NULL OR rows > 1").select("fp", "least", "rows", F.coalesce("label", "fp").alias("group"))
+    firsts = named.groupBy("group").agg(F.min("least").alias("first"), F.count("*").alias("fps"))
+    first = join_back(named, firsts, ["group"], "fps").select("fp", "first", "rows")
+    met = join_back(nodes, first, ["fp"], "rows")
+    return met.where(F.col("node") != F.col("first.node")).select(F.col("first.node").alias("a"), F.col("first.n").alias("n_a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: float = 0.8) -> DataFrame:
     """``doc_id``, ``text_key``, ``node`` and ``label``, one row per document; near copies have one label.
 
@@ -100,38 +186,42 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not 0.8 <= share <= 1:
         raise ValueError("share has to be from 0.8 to 1")
     own = texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    found = staged(own.mapInArrow(_keyed(width), "doc_id long, text_key long, node long, n long, bands array<long>"), "shingles")
-    nodes = found.groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
+    found = staged(own.mapInArrow(_keyed(width), "doc_id long, text_key long, node long, n long, fp long, bands array<long>"), "shingles")
+    nodes = found.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    near = staged(by_fingerprint(found.select("node", "n", "fp").distinct()), "close")
+    keyed = nodes.select("node", "n", "fp", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("least")).where("size > 1")
-    met = staged(join_back(keyed, buckets, ["key"], "size").select("key", "node", "n", F.col("least.node").alias("first"), F.col("least.n").alias("first_n")), "buckets")
+    met = staged(join_back(keyed, buckets, ["key"], "size").select("key", "node", "n", "fp", F.col("least.node").alias("first"), F.col("least.n").alias("first_n")), "buckets")
 
     def alike(n: str, m: str) -> Column:
         """Sizes that differ by more have too little in common."""
         return F.least(n, m) >= share * F.greatest(n, m)
 
-    stars = met.where((F.col("node") != F.col("first")) & alike("n", "first_n")).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    # one text for each node that shares a bucket
-    texts_of = found.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
+    stars = met.where((F.col("node") != F.col("first")) & alike("n", "first_n")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    stars = near.where(alike("n_a", "n_b")).select("a", "b").unionByName(stars).distinct()
+    # one text for each node that meets another
+    some = met.select("node").unionByName(near.select(F.col("a").alias("node"))).unionByName(near.select(F.col("b").alias("node")))
+    texts_of = found.join(some.distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
     texts_of = staged(texts_of.select("node", F.col("d.doc_id").alias("i"), F.col("d.text_key").alias("k")), "nodes")
     held = own.join(F.broadcast(texts_of) if texts_of.count() <= BROADCAST_ROWS else texts_of, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")))
     sets = staged(held.select("node", "text").mapInArrow(_sets(width), "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
     links = staged(_verified(stars, sets, share), "links")
     labels = components(links)
-    # what stays apart within a bucket
-    named = met.join(labels, "node", "left").select("key", "node", "n", "first", F.coalesce("label", "node").alias("label"))
-    parts = named.groupBy("key", "label").agg(F.count("*").alias("rows"))
-    split = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("rows").alias("size")).where("parts > 1 AND size > 2").select("key")
-    open_ = staged(named.join(split, "key", "left_semi"), "open")
+    # what stays apart within a bucket; buckets of the same nodes are one
+    named = met.join(labels, "node", "left").select("key", "node", "n", "fp", F.coalesce("label", "node").alias("label"))
+    parts = named.groupBy("key", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("node")).alias("mark"))
+    split = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("rows").alias("size"), F.sum("n").alias("n"), F.bit_xor("mark").alias("mark")).where("parts > 1 AND size > 2")
+    split = split.groupBy("size", "n", "mark").agg(F.min("key").alias("key"))
+    chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("n") / SHINGLES)).cast("int")
+    open_ = staged(join_back(named, split.select("key", "size", chunks.alias("chunks")), ["key"], "size").drop("size"), "open")
     if not open_.isEmpty():
-        groups = open_.select("key", "label").distinct()
-        across = groups.join(groups.withColumnRenamed("label", "other"), "key").where("label < other")
-        left = open_.select("key", "label", F.col("node").alias("x"), F.col("n").alias("xn"), "first")
-        right = open_.select("key", F.col("label").alias("other"), F.col("node").alias("y"), F.col("n").alias("yn"))
-        pairs = across.join(left, ["key", "label"]).join(right, ["key", "other"]).where(alike("xn", "yn") & (F.col("x") != F.col("first")) & (F.col("y") != F.col("first")))
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        links = links.unionByName(_verified(pairs, sets, share))
-        labels = components(links)
+        own_chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+        dealt = open_.withColumn("c", own_chunk).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o"))
+        dealt = dealt.join(sets, "node").select("key", F.least("c", "o").alias("x"), F.greatest("c", "o").alias("y"), "c", "label", "node", "fp", "shingles")
+        by = ["key", "x", "y"]
+        across = dealt.repartition(*by).sortWithinPartitions(*by, "label", "node").mapInArrow(_linked(share), "a long, b long")
+        # what is joined already goes along as one link for each node
+        labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(across))
     return found.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
 
 

@@ -39,10 +39,14 @@ def simhash(text: str | None, width: int = 3) -> int:
     if not words:
         return 0
     shingles = list(map(b" ".join, zip(*[words[i:] for i in range(width)], strict=False))) if len(words) >= width else [b" ".join(words)]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(shingles))
+    return majority(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(shingles)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Unsigned fingerprint: the bits that are set in over half of the hashes; 0 without any."""
     octets = hashes.view(np.uint8).reshape(-1, 8)
     ones = np.concatenate([np.bincount(octets[:, i], minlength=256) @ _BYTE for i in range(8)])
-    return int(np.packbits(ones * 2 > len(shingles), bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:

@@ -373,6 +373,38 @@ def test_near_copies_of_odd_rows(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(5, a), (5, b), (0, c)])
 
 
+def test_near_copies_meet_by_fingerprint(spark):
+    """Each node meets the first of its group of fingerprints within 3 bits, chains and equal ones included."""
+    fps = [0, 0b111, 0b111111, 0b111, 1 << 40 | 0xFF00FF00, -1, -8]
+    nodes = spark.createDataFrame([(i, 10 + i, f) for i, f in enumerate(fps)], "node long, n long, fp long")
+    got = neardup.by_fingerprint(nodes).collect()
+    assert sorted((r.a, r.n_a, r.b, r.n_b) for r in got) == [(0, 10, 1, 11), (0, 10, 2, 12), (0, 10, 3, 13), (5, 15, 6, 16)]
+
+
+@pytest.mark.parametrize("chunk", [16, 512])
+def test_near_copies_of_a_large_group(spark, monkeypatch, chunk):
+    """Nodes of one bucket that are mostly under 0.8 give no row for each pair."""
+    rng = random.Random(64)
+    base = prose(rng, 100).split()
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for at in rng.sample(range(100), rng.choice([1, 2, 3])):
+            words[at] = f"new{rng.random()}"
+        texts.append(" ".join(words))
+    sets = [set(neardup.shingles(t).tolist()) for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = sorted(set(grouped(pairs, range(len(sets))).values()))
+    assert 1 < len(want) < 100
+    monkeypatch.setattr(neardup, "CHUNK", chunk, raising=False)
+    rows = []
+    verified = neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, *more: rows.append(pairs.count()) or verified(pairs, *more))
+    assert sorted(r.doc_id for r in neardup.one_of_each(docs(spark, texts)).collect()) == want
+    # a row for each node and band at most goes through a join; all pairs would be 11,175
+    assert sum(rows) <= (neardup.BANDS + 1) * len(texts)
+
+
 def test_repeats_around_a_stock_phrase(spark):
     """Two of many documents that hold a phrase also share the words before it."""
     rng = random.Random(63)
