@@ -16,6 +16,7 @@ from tallyrill.llm.base import staged
 from tallyrill.llm.components import components
 
 BROADCAST_ROWS = 1_000_000  # ids of 8 bytes
+KEY_BITS = 40  # a line meets one other by chance for each 2^40 pairs of a segment and a probe
 SHIFT = 2_147_483_648  # over any line number
 
 
@@ -24,10 +25,15 @@ def budget(length: str, chars_per_edit: int, max_edits: int) -> str:
     return f"least({max_edits}, {length} div {chars_per_edit})"
 
 
+def _key(parts: str) -> str:
+    """SQL text: a key of ``KEY_BITS`` bits, which take less room in the exchange; what only shares a key is told apart after."""
+    return f"xxhash64({parts}) & {(1 << KEY_BITS) - 1}"
+
+
 def _segments(edits: int) -> str:
     """SQL text: hashes of the ``edits + 1`` segments of ``line`` of ``n`` characters, keyed by length and number."""
     parts = edits + 1
-    return "array(" + ", ".join(f"xxhash64(n, {s}, substring(line, {s} * n div {parts} + 1, {s + 1} * n div {parts} - {s} * n div {parts}))" for s in range(parts)) + ")"
+    return "array(" + ", ".join(_key(f"n, {s}, substring(line, {s} * n div {parts} + 1, {s + 1} * n div {parts} - {s} * n div {parts})") for s in range(parts)) + ")"
 
 
 def _probes(edits: int) -> list[tuple[int, str]]:
@@ -43,7 +49,7 @@ def _probes(edits: int) -> list[tuple[int, str]]:
             for move in range(max(-s, longer - (edits - s)), min(s, longer + (edits - s)) + 1):
                 m = f"(n - {longer})"
                 begin, end = f"{s} * {m} div {parts}", f"{s + 1} * {m} div {parts}"
-                out.append((longer, f"xxhash64({m}, {s}, substring(line, {begin} + 1 + {move}, {end} - {begin}))"))
+                out.append((longer, _key(f"{m}, {s}, substring(line, {begin} + 1 + {move}, {end} - {begin})")))
     return out
 
 

@@ -272,3 +272,12 @@ def test_no_python_on_native_paths(spark):
     for df in (linededup.classes(table), oph.with_edited(table), decontaminate.contamination(table, marks)):
         plan = df._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_segment_keys_are_short(spark):
+    """Keys of 40 bits on both sides of the exchange; a line of the same length looks for all segments of its own."""
+    lines = spark.createDataFrame([("".join(chr(97 + (i * k) % 23) for k in range(30 + i)),) for i in range(60)], "line string").selectExpr("line", "char_length(line) AS n")
+    for edits in (1, 2):
+        probes = ", ".join(p for _, p in linededup._probes(edits))
+        for r in lines.selectExpr(f"{linededup._segments(edits)} AS own", f"array({probes}) AS looked").collect():
+            assert all(0 <= x < 1 << 40 for x in r.own + r.looked) and set(r.own) <= set(r.looked)
