@@ -66,9 +66,32 @@ def top_words(rows: DataFrame, k: int) -> DataFrame:
     return word_frequency(rows).orderBy(F.col("n").desc(), "term").limit(k)
 
 
+BROADCAST_ROWS = 1_000_000  # ids of documents that come more than once
+
+
+def _counted(tokens: Column) -> Column:
+    """The different tokens of an array with how often it has each, as (term, n) structs, by runs of the sorted array."""
+
+    def runs(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        # the one-element array makes the starts once per row
+        return F.transform(F.array(starts), lambda at: F.transform(at, lambda p, k: F.struct(F.get(s, p).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - p).cast("long").alias("n"))))[0]
+
+    return F.transform(F.array(F.sort_array(tokens)), lambda s: F.when(F.size(s) > 0, runs(s)))[0]
+
+
 def term_counts(df: DataFrame, doc: str, tokens: Column) -> DataFrame:
-    """(document, term, n), counted in each task before the shuffle."""
-    return df.select(doc, F.explode(tokens).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("n"))
+    """(document, term, n). A row is counted where it is; only rows whose ``doc`` comes again are summed up in a shuffle."""
+    again = df.groupBy(doc).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select(F.col(doc).alias("__again"), F.lit(True).alias("__twice"))
+    repeated = again.limit(BROADCAST_ROWS + 1).count()
+    if repeated > BROADCAST_ROWS:
+        return df.select(doc, F.inline(_counted(tokens))).groupBy(doc, "term").agg(F.sum("n").alias("n"))
+    if not repeated:
+        return df.select(doc, F.inline(_counted(tokens)))
+    marked = df.join(F.broadcast(again), F.col(doc).eqNullSafe(F.col("__again")), "left")
+    rows = lambda some: marked.where(some).select(doc, F.inline(_counted(tokens)))
+    return rows("__twice IS NULL").unionByName(rows("__twice").groupBy(doc, "term").agg(F.sum("n").alias("n")))
 
 
 def tf_idf(counts: DataFrame, doc: str, n_docs: Column) -> DataFrame:

@@ -238,3 +238,20 @@ def test_vocabulary_hits_stay_in_plain_columns(spark):
     assert "lambdafunction" not in hits._jdf.queryExecution().optimizedPlan().toString()
     few = X.vocabulary_hits(docs, "doc_id", "text", vocabulary.union(spark.createDataFrame([("b",), ("zz",)], "term string")), 10)
     assert {tuple(r) for r in few.collect()} == {(i, w) for i, t in enumerate(texts) for w in [*words, "b", "zz"] if w in (t or "").lower()}
+
+
+def test_term_counts_stay_in_their_rows(spark):
+    """Only documents whose id comes again are summed up in a shuffle; nulls, empty texts and repeated rows."""
+    texts = [(1, "b a b"), (2, None), (3, ""), (4, "x"), (4, "x y x"), (None, "n m"), (None, "n"), (5, "  c  C\tc "), (6, "漢 漢 a")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    want = {}
+    for i, t in texts:
+        for w in (t or "").lower().split():
+            want[i, w] = want.get((i, w), 0) + 1
+    counts = X.term_counts(df, "doc_id", X.plain_tokens("text"))
+    assert counts.dtypes == [("doc_id", "bigint"), ("term", "string"), ("n", "bigint")]
+    got = counts.collect()
+    assert len(got) == len(want) and {(r.doc_id, r.term): r.n for r in got} == want
+    once = df.where("doc_id in (1, 2, 3, 5, 6)")
+    plan = X.term_counts(once, "doc_id", X.plain_tokens("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
