@@ -418,3 +418,23 @@ def test_repeats_around_a_stock_phrase(spark):
     assert {r.doc_id for r in got} == pairs
     want = plain_repeats([t.split() for t in texts], 50)
     assert all(set(range(r.start, r.stop)) == want[r.doc_id] for r in got)
+
+
+@pytest.mark.parametrize("held", [3, 40, 20_000])
+def test_windows_of_repeats_meet_where_the_suffixes_are(spark, shuffles, monkeypatch, held):
+    """Only the windows of n-grams with more suffixes than a task holds go through an exchange."""
+    shuffles(6)
+    monkeypatch.setattr(suffixes, "HELD", held, raising=False)
+    out = []
+    again = suffixes._again
+    monkeypatch.setattr(suffixes, "_again", lambda windows, *more: out.append(windows.count()) or again(windows, *more))
+    rng = random.Random(64)
+    passages = [prose(rng, n) for n in (50, 60, 90)]
+    texts = [f"{prose(rng, 30)} {passages[i % 3]} {prose(rng, 30)} {passages[1] if i % 4 else ''}" for i in range(90)]
+    got = suffixes.repeats(docs(spark, texts)).collect()
+    covered = [set() for _ in texts]
+    for r in got:
+        covered[r.doc_id] |= set(range(r.start, r.stop))
+        assert r.other_doc_id != r.doc_id
+    assert covered == plain_repeats([t.split() for t in texts], 50)
+    assert (out[0] == 0) == (held == 20_000)
