@@ -78,3 +78,29 @@ def test_a_grid_that_was_cut_off_goes_on(spark):
     by = {(r["params"], r["fold"]): r["score"] for r in whole.collect()}
     for r in scores:
         assert abs(r["mean_score"] - np.mean([by[r["params"], f] for f in range(3)])) < 1e-12
+
+
+def test_depths_of_a_grid_come_from_one_tree(spark):
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(600, 4)), 1)
+    y = (x[:, 0] * x[:, 1] > 0.2) + (x[:, 2] + rng.normal(size=600) > 1)
+    df = spark.createDataFrame([(v.tolist(), float(c), i % 3) for i, (v, c) in enumerate(zip(x, y, strict=True))], "v array<double>, label double, fold int")
+    df = df.select(array_to_vector("v").alias("features"), "label", "fold")
+    made = []
+
+    def make(point):
+        made.append(point)
+        return DecisionTreeClassifier(seed=1, **point)
+
+    grid = {"maxDepth": [0, 1, 2, 4, 6], "minInstancesPerNode": [1, 40], "maxBins": [8, 32]}
+    score = MulticlassClassificationEvaluator(metricName="f1")
+    rows = lambda fits: sorted(map(tuple, fits.drop("seconds").collect()))
+    each = G.run_grid(df, make, "tree", grid, score, owned_path(spark, "ledger"), parallelism=8)
+    assert len(made) == 60 and len({r["score"] for r in each.collect()}) > 20
+    made.clear()
+    path = owned_path(spark, "ledger")
+    # cut off within the depths of a tree
+    assert G.run_grid(df, make, "tree", grid, score, path, parallelism=8, most=20, depths="maxDepth").count() == 20 and len(made) == 12
+    assert rows(G.run_grid(df, make, "tree", grid, score, path, parallelism=8, depths="maxDepth")) == rows(each) and len(made) == 24
+    with pytest.raises(Exception, match="probability"):
+        G.run_grid(df, make, "loss", grid, MulticlassClassificationEvaluator(metricName="logLoss"), owned_path(spark, "ledger"), depths="maxDepth", most=2)
