@@ -5,11 +5,13 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyrill.functions import scalars as S
 from tallyrill.functions.tails import chi2_tail_even, f_tail, f_two_sided
+from tallyrill.operators import copairs
 from tallyrill.operators import evaluate as E
 from tallyrill.operators import impute as I
 from tallyrill.operators import profile as P
@@ -255,3 +257,35 @@ def test_term_counts_stay_in_their_rows(spark):
     once = df.where("doc_id in (1, 2, 3, 5, 6)")
     plan = X.term_counts(once, "doc_id", X.plain_tokens("text"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_blocks_of_asked_users_share_a_pass(spark):
+    """The ratings are not gone through once for each block of asked users."""
+    r = spark.createDataFrame([(u, (u * k) % 7, float(k % 5)) for u in range(60) for k in range(9)], "userid bigint, itemid bigint, rating double")
+    asked = r.select("userid").where("userid % 2 = 0")
+    got = RC.similarity(r, asked, active_rows=10, part_rows=10)
+    plan = got._jdf.queryExecution().toString().partition("Physical Plan")[2]
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, RC.similarity(r, asked).collect()))
+
+
+def test_nearest_leaves_out_only_pairs_that_others_come_before(spark):
+    """Ties go to the smaller user, NaN comes first, pairs without both ratings are counted and not scored."""
+    rng = random.Random(5)
+    made = [(rng.randrange(40), rng.randrange(9), rng.choice([0.1, 0.1, 0.7, 2.0, None, math.nan if u < 4 else 1.0])) for u in range(400)]
+    for kind, name in (("bigint", lambda u: u - 20), ("string", lambda u: f"u{u}")):
+        r = spark.createDataFrame([(name(u), str(i), x) for u, i, x in made], f"userid {kind}, itemid string, rating double")
+        asked = r.select("userid").where(F.abs(F.hash("userid")) % 2 == 0)
+        want = [tuple(map(str, x)) for x in RC.nearest_users(RC.similarity(r, asked), 3).collect()]
+        few = RC.similarity(r, asked, 50, 20, 90, nearest=3)
+        assert len(want) < few.count() < RC.similarity(r, asked).count()
+        assert sorted(tuple(map(str, x)) for x in RC.nearest_users(few, 3).collect()) == sorted(want)
+    assert {x[3] for x in want} > {"1.0", "nan"}
+
+
+def test_a_batch_of_pairs_holds_whole_users():
+    theirs = pa.table({"neighbour": [1, 2, 3, 1, 2, 3], "itemid": [7, 7, 7, 8, 8, 8], "b": [1.0, 2.0, 3.0, 2.0, 1.0, 3.0]})
+    mine = pa.table({"active": [1, 1, 9, 9, 10], "itemid": [7, 8, 8, 7, 99], "a": [1.0, 2.0, 5.0, 4.0, 1.0]})
+    for most in (1, 6, 100):
+        found = [tuple(x.values()) for batch in copairs.Part(theirs).scored(mine, most=most) for x in batch.to_pylist()]
+        assert found == [(1, 2, 2, -1.0), (1, 3, 2, 0.0), (9, 1, 2, 1.0), (9, 2, 2, -1.0), (9, 3, 2, 0.0)]
