@@ -186,6 +186,16 @@ def test_factor_error_falls(spark):
     assert len(top) == 6 and not {(t["active"], t["itemid"]) for t in top} & seen
 
 
+def test_factor_blocks_hold_so_many_ratings(spark):
+    r = spark.createDataFrame([(i, j, float(1 + (i * j) % 5)) for i in range(60) for j in range(10)], "userid bigint, itemid bigint, rating double")
+    for block_rows, blocks in ((30, 20), (600, 10)):
+        m = RC.factorise(r, steps=1, block_rows=block_rows).model
+        for factors in (m.userFactors, m.itemFactors):
+            assert factors.rdd.getNumPartitions() == blocks
+        assert m.userFactors.count() == 60 and m.itemFactors.count() == 10
+    assert RC.factorise(r, steps=1).model.userFactors.rdd.getNumPartitions() == 10
+
+
 @pytest.fixture(scope="module")
 def two_classes(spark):
     rng = np.random.default_rng(8)
